@@ -19,7 +19,8 @@ def with_range(rows: DataFrame, rule: RangeRule, line: str = "line") -> DataFram
 
 
 def _steps(q: int) -> Column:
-    return F.array(*[F.lit(i / q) for i in range(q + 1)])
+    # Multiples of the step, as array libraries space them: 0.30000000000000004 rather than 0.3 for q = 10.
+    return F.array(*[F.lit(i * (1.0 / q)) for i in range(q)], F.lit(1.0))
 
 
 def quantile_edges(freq: DataFrame, *qs: int) -> DataFrame:
