@@ -1,4 +1,8 @@
-"""Rounding, capping, and moments of weighted values."""
+"""Rounding, capping, shares and moments of weighted values, as SQL text.
+
+Report columns repeat these formulas many times. One parsed expression per column keeps building a plan cheap; Catalyst
+sees the same expression tree either way.
+"""
 
 from __future__ import annotations
 
@@ -6,69 +10,65 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def round_even(x: Column, digits: int) -> Column:
-    """Round half to even on the scaled double, the rule array libraries use (decimal ``bround`` differs at ties)."""
-    scale = F.lit(float(10**digits))
-    return F.rint(x * scale) / scale
+def exprs(*texts: str) -> list[Column]:
+    return [F.expr(t) for t in texts]
 
 
-def cap(x: Column, limit: float | None) -> Column:
-    """Values above ``limit`` become ``limit``; NULL stays NULL."""
-    return x if limit is None else F.when(x > F.lit(float(limit)), F.lit(float(limit))).otherwise(x)
+def num(x: float) -> str:
+    """Double literal; a bare decimal point would make it a DECIMAL."""
+    return f"{float(x)!r}D"
 
 
-def missing_to_null(x: Column) -> Column:
-    return F.nanvl(x, F.lit(None).cast("double"))
+def round_even(x: str, digits: int) -> str:
+    """Round half to even on the scaled double, the rule array libraries use (decimal ``bround`` differs at ties)."""
+    scale = num(10**digits)
+    return f"rint(({x}) * {scale}) / {scale}"
+
+
+def cap(x: str, limit: float | None) -> str:
+    """Values above ``limit`` become ``limit``; NULL stays NULL."""
+    return x if limit is None else f"CASE WHEN {x} > {num(limit)} THEN {num(limit)} ELSE {x} END"
 
 
-def share(condition: Column, weight: Column) -> Column:
+def share(condition: str, weight: str = "n") -> str:
     """Aggregate: weighted share of rows where the condition holds. NULL conditions count as false."""
-    return F.sum(F.when(condition, weight).otherwise(F.lit(0))) / F.sum(weight)
+    return f"sum(CASE WHEN {condition} THEN {weight} ELSE 0L END) / sum({weight})"
 
 
 class Moments:
     """Count, mean and deviation of a value that carries a multiplicity, from sums that combine before a shuffle."""
 
-    def __init__(self, name: str, value: Column, weight: Column):
-        self._n, self._s, self._q = f"{name}__n", f"{name}__s", f"{name}__q"
-        self._lo, self._hi = f"{name}__lo", f"{name}__hi"
-        self._value, self._weight = value, weight
+    def __init__(self, name: str, value: str, weight: str = "n"):
+        self.n, self._s, self._q = f"__{name}_n", f"__{name}_s", f"__{name}_q"
+        self.min, self.max = f"__{name}_lo", f"__{name}_hi"
+        self._value, self._weight = f"({value})", weight
 
     def aggregates(self) -> list[Column]:
         v, w = self._value, self._weight
-        return [
-            F.sum(F.when(v.isNotNull(), w).otherwise(F.lit(0))).alias(self._n),
-            F.sum(v * w).alias(self._s),
-            F.sum(v * v * w).alias(self._q),
-            F.min(v).alias(self._lo),
-            F.max(v).alias(self._hi),
-        ]
-
-    @property
-    def n(self) -> Column:
-        return F.col(self._n)
-
-    @property
-    def min(self) -> Column:
-        return F.col(self._lo)
-
-    @property
-    def max(self) -> Column:
-        return F.col(self._hi)
+        return exprs(
+            f"sum(CASE WHEN {v} IS NOT NULL THEN {w} ELSE 0L END) AS {self.n}",
+            f"sum({v} * {w}) AS {self._s}",
+            f"sum({v} * {v} * {w}) AS {self._q}",
+            f"min({v}) AS {self.min}",
+            f"max({v}) AS {self.max}",
+        )
 
     @property
-    def mean(self) -> Column:
-        return F.when(self.n > 0, F.col(self._s) / self.n)
+    def mean(self) -> str:
+        return f"CASE WHEN {self.n} > 0 THEN {self._s} / {self.n} END"
 
-    def _squares(self) -> Column:
-        s = F.col(self._s)
-        spread = F.greatest(F.col(self._q) - s * s / self.n, F.lit(0.0))
-        return F.when(self.min == self.max, F.lit(0.0)).otherwise(spread)
+    def _deviation(self, divisor: str, least: int) -> str:
+        # Equal ends mean no spread at all, whatever the sums lost to rounding.
+        squares = f"greatest({self._q} - {self._s} * {self._s} / {self.n}, 0.0D)"
+        return (
+            f"CASE WHEN {self.n} < {least} THEN NULL WHEN {self.min} = {self.max} THEN 0.0D "
+            f"ELSE sqrt({squares} / {divisor}) END"
+        )
 
     @property
-    def std_sample(self) -> Column:
-        return F.when(self.n > 1, F.sqrt(self._squares() / (self.n - 1)))
+    def std_sample(self) -> str:
+        return self._deviation(f"({self.n} - 1)", 2)
 
     @property
-    def std_population(self) -> Column:
-        return F.when(self.n > 0, F.sqrt(self._squares() / self.n))
+    def std_population(self) -> str:
+        return self._deviation(self.n, 1)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from linegauge.functions.labels import bias_direction, line_bias, line_bias_text, segment_interpretation
 from linegauge.functions.normal import with_line_percentile
-from linegauge.functions.numbers import Moments, round_even, share
+from linegauge.functions.numbers import Moments, exprs, num, round_even, share
 
 MIN_SEGMENT_ROWS = 10
 MIN_LINE_ROWS = 20
@@ -24,9 +24,7 @@ INTERVALS = {"coverage_50": (0.25, 0.75), "coverage_80": (0.10, 0.90), "coverage
 
 SigmaOverride = float | Mapping[str, float] | None
 
-
-def _has_both() -> Column:
-    return F.col("score").isNotNull() & F.col("line").isNotNull()
+HAS_BOTH = "(line IS NOT NULL AND score IS NOT NULL)"
 
 
 def scored_rows(freq: DataFrame) -> DataFrame:
@@ -35,36 +33,29 @@ def scored_rows(freq: DataFrame) -> DataFrame:
     Written as a test on the weight, not on the keys: a key test would move below the frequency aggregation, and the
     tables that share one frequency shuffle (sigma, edges, percentiles) would each recompute it.
     """
-    return freq.withColumn("n", F.col("n") * _has_both().cast("long")).filter(F.col("n") > 0)
+    return freq.withColumn("n", F.expr(f"n * CAST({HAS_BOTH} AS BIGINT)")).filter("n > 0")
 
 
 def segment_sigma(freq: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Scored rows, unscored rows and sample deviation of the score per group."""
-    usable = F.when(_has_both(), F.col("score"))
-    score = Moments("score", usable, F.col("n"))
+    score = Moments("score", f"CASE WHEN {HAS_BOTH} THEN score END")
     return (
         freq.groupBy(*groups)
-        .agg(*score.aggregates(), F.sum("n").alias("__rows"))
-        .select(
-            *groups,
-            score.n.alias("n_scored"),
-            (F.col("__rows") - score.n).alias("n_unscored"),
-            score.std_sample.alias("sigma"),
+        .agg(*score.aggregates(), *exprs("sum(n) AS __rows"))
+        .selectExpr(
+            *groups, f"{score.n} AS n_scored", f"__rows - {score.n} AS n_unscored", f"{score.std_sample} AS sigma"
         )
     )
 
 
-def _overridden(sigma: Column, override: SigmaOverride, key: str) -> Column:
+def _overridden(override: SigmaOverride, key: str) -> str:
     """A zero or missing override means the group's own deviation."""
     if not override:
-        return sigma
+        return "sigma"
     if not isinstance(override, Mapping):
-        return F.lit(float(override))
-    chosen = sigma
-    for name, value in override.items():
-        if value:
-            chosen = F.when(F.col(key) == name, F.lit(float(value))).otherwise(chosen)
-    return chosen
+        return num(override)
+    whens = " ".join(f"WHEN {key} = '{name}' THEN {num(value)}" for name, value in override.items() if value)
+    return f"CASE {whens} ELSE sigma END" if whens else "sigma"
 
 
 def percentiles(
@@ -87,48 +78,46 @@ def percentiles(
         place = Window.partitionBy(groups[0]).orderBy(groups[2])
         sigma = sigma.withColumn("group_no", F.row_number().over(place))
     sigma = sigma.filter(F.col("n_scored") >= min_rows)
-    sigma = sigma.withColumn("sigma", _overridden(F.col("sigma"), sigma_override, groups[0]))
+    sigma = sigma.withColumn("sigma", F.expr(_overridden(sigma_override, groups[0])))
     joined = scored_rows(freq).join(F.broadcast(sigma) if few_groups else sigma, list(groups))
     return with_line_percentile(joined)
 
 
 def _bin_shares() -> list[Column]:
-    p = F.col("percentile")
-    return [share((p >= lo) & (p < hi), F.col("n")).alias(f"bin_{i}") for i, (lo, hi) in enumerate(zip(EDGES, EDGES[1:]))]
+    return exprs(
+        *[
+            f"{share(f'percentile >= {num(lo)} AND percentile < {num(hi)}')} AS bin_{i}"
+            for i, (lo, hi) in enumerate(zip(EDGES, EDGES[1:]))
+        ]
+    )
 
 
-def _mace() -> Column:
-    total = F.lit(0.0)
-    for i in range(BINS):
-        total = total + F.abs(F.col(f"bin_{i}") - F.lit(0.1))
-    return total / F.lit(float(BINS))
+MACE = "(" + " + ".join(f"abs(bin_{i} - 0.1D)" for i in range(BINS)) + f") / {num(BINS)} AS mace"
 
 
 def bin_table(percentile_rows: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Share of percentiles per group and tenth; ten rows per group. A percentile of exactly 1 is in no bin."""
-    wide = percentile_rows.groupBy(*groups).agg(F.sum("n").alias("n"), *_bin_shares())
-    entries = [
-        F.struct(
-            F.lit(i).alias("bin"),
-            F.lit(EDGES[i]).alias("bin_low"),
-            F.lit((EDGES[i] + EDGES[i + 1]) / 2).alias("bin_center"),
-            F.col(f"bin_{i}").alias("share"),
-        )
-        for i in range(BINS)
-    ]
-    return wide.select(*groups, "n", F.inline(F.array(*entries)))
+    wide = percentile_rows.groupBy(*groups).agg(*exprs("sum(n) AS n"), *_bin_shares())
+    entries = ", ".join(
+        f"struct({i} AS bin, {num(lo)} AS bin_low, {num((lo + hi) / 2)} AS bin_center, bin_{i} AS share)"
+        for i, (lo, hi) in enumerate(zip(EDGES, EDGES[1:]))
+    )
+    return wide.selectExpr(*groups, "n", f"inline(array({entries}))")
 
 
 def calibration_metrics(percentile_rows: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Coverage, calibration error, median percentile and bias per group, in one aggregation."""
-    p = F.col("percentile")
-    coverage = [share((p >= lo) & (p <= hi), F.col("n")).alias(name) for name, (lo, hi) in INTERVALS.items()]
     wide = percentile_rows.groupBy(*groups).agg(
-        F.sum("n").alias("n"),
-        F.max("n_unscored").alias("n_unscored"),
-        F.max("sigma").alias("sigma"),
-        *coverage,
-        F.percentile("percentile", 0.5, F.col("n")).alias("median_percentile"),
+        *exprs(
+            "sum(n) AS n",
+            "max(n_unscored) AS n_unscored",
+            "max(sigma) AS sigma",
+            *[
+                f"{share(f'percentile BETWEEN {num(lo)} AND {num(hi)}')} AS {name}"
+                for name, (lo, hi) in INTERVALS.items()
+            ],
+            "percentile(percentile, 0.5D, n) AS median_percentile",
+        ),
         *_bin_shares(),
     )
     median = F.col("median_percentile")
@@ -138,7 +127,7 @@ def calibration_metrics(percentile_rows: DataFrame, groups: Sequence[str]) -> Da
         "n_unscored",
         "sigma",
         *INTERVALS,
-        _mace().alias("mace"),
+        F.expr(MACE),
         "median_percentile",
         segment_interpretation(median).alias("interpretation"),
         bias_direction(median).alias("bias_direction"),
@@ -160,42 +149,39 @@ def evaluate_segmentation(
     keys = [*groups, "group_no"] if numbered else list(groups)
     return (
         rows.groupBy(*keys)
-        .agg(F.sum("n").alias("n"), F.max("sigma").alias("std"), *_bin_shares())
-        .select(*keys, "n", "std", _mace().alias("mace"))
+        .agg(*exprs("sum(n) AS n", "max(sigma) AS std"), *_bin_shares())
+        .selectExpr(*keys, "n", "std", MACE)
     )
 
 
-def row_weighted_mace(belongs: Column | None = None) -> Column:
+def row_weighted_mace(belongs: str = "true") -> str:
     """Aggregate over evaluated segments: error weighted by rows; infinity when no segment qualified."""
-    n, mace = F.col("n"), F.col("mace")
-    if belongs is not None:
-        n, mace = F.when(belongs, n), F.when(belongs, mace)
-    return F.coalesce(F.sum(mace * n) / F.nullif(F.sum(n), F.lit(0)), F.lit(float("inf")))
+    total = f"sum(CASE WHEN {belongs} THEN mace * n END)"
+    rows = f"nullif(sum(CASE WHEN {belongs} THEN n END), 0)"
+    return f"coalesce({total} / {rows}, double('Infinity'))"
 
 
 def weighted_mace(evaluated: DataFrame) -> DataFrame:
     """One row: the error of a segmentation over all its segments."""
-    return evaluated.agg(row_weighted_mace().alias("weighted_mace"))
+    return evaluated.agg(*exprs(f"{row_weighted_mace()} AS weighted_mace"))
 
 
 def line_calibration(percentile_rows: DataFrame, min_rows: int = MIN_LINE_ROWS) -> DataFrame:
     """Percentile summary per line. Values are rounded to three digits first; bias, gap and distance derive from those."""
-    pct = Moments("pct", F.col("percentile"), F.col("n"))
-    score = Moments("act", F.col("score"), F.col("n"))
+    pct, score = Moments("pct", "percentile"), Moments("act", "score")
     grouped = percentile_rows.groupBy("line").agg(
         *pct.aggregates(),
         *score.aggregates(),
-        F.percentile("percentile", 0.5, F.col("n")).alias("__median"),
         # The segment depends on the line alone, so any row's value will do.
-        F.first("segment").alias("segment"),
+        *exprs("percentile(percentile, 0.5D, n) AS __median", "first(segment) AS segment"),
     )
-    rounded = grouped.filter(pct.n >= min_rows).select(
+    rounded = grouped.filter(f"{pct.n} >= {min_rows}").selectExpr(
         "line",
-        pct.n.alias("n"),
-        round_even(F.col("__median"), 3).alias("median_pct"),
-        round_even(pct.mean, 3).alias("mean_pct"),
-        round_even(pct.std_sample, 3).alias("std_pct"),
-        round_even(score.mean, 3).alias("mean_actual"),
+        f"{pct.n} AS n",
+        f"{round_even('__median', 3)} AS median_pct",
+        f"{round_even(pct.mean, 3)} AS mean_pct",
+        f"{round_even(pct.std_sample, 3)} AS std_pct",
+        f"{round_even(score.mean, 3)} AS mean_actual",
         "segment",
     )
     code = line_bias(F.col("median_pct"))
@@ -203,8 +189,7 @@ def line_calibration(percentile_rows: DataFrame, min_rows: int = MIN_LINE_ROWS)
         "*",
         code.alias("bias"),
         line_bias_text(code).alias("bias_text"),
-        (F.col("mean_actual") - F.col("line")).alias("actual_vs_line"),
-        F.abs(F.col("median_pct") - 0.5).alias("distance_from_calibrated"),
+        *exprs("mean_actual - line AS actual_vs_line", "abs(median_pct - 0.5D) AS distance_from_calibrated"),
     )
 
 

@@ -4,33 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linegauge.functions.labels import line_class, line_color
 from linegauge.functions.normal import normal_pdf
-from linegauge.functions.numbers import Moments, cap, round_even
+from linegauge.functions.numbers import Moments, cap, exprs, num, round_even, share
 from linegauge.operators.calibration import scored_rows
 
 
-
 def segment_stats(freq: DataFrame, groups: Sequence[str] = ("segment", "segment_order")) -> DataFrame:
     """Scored rows and line / score statistics per segment, rounded to two digits."""
-    line = Moments("line_m", F.col("line"), F.col("n"))
-    score = Moments("score_m", F.col("score"), F.col("n"))
+    line, score = Moments("line", "line"), Moments("score", "score")
+    rounded = {
+        "mean_line": line.mean,
+        "mean_actual": score.mean,
+        "std_actual": score.std_sample,
+        "min_line": line.min,
+        "max_line": line.max,
+        "min_actual": score.min,
+        "max_actual": score.max,
+    }
     return (
         freq.groupBy(*groups)
         .agg(*line.aggregates(), *score.aggregates())
-        .select(
-            *groups,
-            score.n.alias("count"),
-            round_even(line.mean, 2).alias("mean_line"),
-            round_even(score.mean, 2).alias("mean_actual"),
-            round_even(score.std_sample, 2).alias("std_actual"),
-            round_even(line.min, 2).alias("min_line"),
-            round_even(line.max, 2).alias("max_line"),
-            round_even(score.min, 2).alias("min_actual"),
-            round_even(score.max, 2).alias("max_actual"),
+        .selectExpr(
+            *groups, f"{score.n} AS count", *[f"{round_even(x, 2)} AS {name}" for name, x in rounded.items()]
         )
     )
 
@@ -41,19 +40,19 @@ def segment_counts(freq: DataFrame) -> DataFrame:
 
 
 def single_line_summary(freq: DataFrame, line: float) -> DataFrame:
-    score = Moments("s", F.col("score"), F.col("n"))
+    score = Moments("s", "score")
     return (
-        freq.filter(F.col("line") == F.lit(float(line)))
+        freq.filter(f"line = {num(line)}")
         .groupBy("line")
-        .agg(*score.aggregates(), F.sum("n").alias("__rows"), F.percentile("score", 0.5, F.col("n")).alias("__median"))
-        .select(
+        .agg(*score.aggregates(), *exprs("sum(n) AS __rows", "percentile(score, 0.5D, n) AS __median"))
+        .selectExpr(
             "line",
-            F.col("__rows").alias("n"),
-            score.mean.alias("mean_actual"),
-            F.col("__median").alias("median_actual"),
-            score.std_sample.alias("std_actual"),
-            score.min.alias("min_actual"),
-            score.max.alias("max_actual"),
+            "__rows AS n",
+            f"{score.mean} AS mean_actual",
+            "__median AS median_actual",
+            f"{score.std_sample} AS std_actual",
+            f"{score.min} AS min_actual",
+            f"{score.max} AS max_actual",
         )
     )
 
@@ -63,186 +62,173 @@ def line_summary(freq: DataFrame, score_cap: float | None, min_rows: int = 20) -
 
     The deviation is the population one here.
     """
-    score = Moments("s", cap(F.col("score"), score_cap), F.col("n"))
+    capped = cap("score", score_cap)
+    score = Moments("s", capped)
     return (
-        freq.filter(F.col("line").isNotNull())
+        freq.filter("line IS NOT NULL")
         .groupBy("line")
-        .agg(
-            *score.aggregates(),
-            F.sum("n").alias("__rows"),
-            F.percentile(cap(F.col("score"), score_cap), 0.5, F.col("n")).alias("__median"),
-        )
-        .filter(F.col("__rows") >= min_rows)
-        .select(
+        .agg(*score.aggregates(), *exprs("sum(n) AS __rows", f"percentile({capped}, 0.5D, n) AS __median"))
+        .filter(f"__rows >= {min_rows}")
+        .selectExpr(
             "line",
-            score.n.alias("n"),
-            score.mean.alias("mean_actual"),
-            F.col("__median").alias("median_actual"),
-            score.std_population.alias("std_actual"),
-            (score.mean - F.col("line")).alias("diff"),
+            f"{score.n} AS n",
+            f"{score.mean} AS mean_actual",
+            "__median AS median_actual",
+            f"{score.std_population} AS std_actual",
+            f"({score.mean}) - line AS diff",
         )
     )
 
 
 def line_range(lines: DataFrame) -> DataFrame:
     """How many lines have enough rows, and the lowest and highest of them."""
-    return lines.agg(
-        F.count("line").alias("n_lines"), F.min("line").alias("min_line"), F.max("line").alias("max_line")
-    )
+    return lines.agg(*exprs("count(line) AS n_lines", "min(line) AS min_line", "max(line) AS max_line"))
 
 
 def range_summary(ranged: DataFrame) -> DataFrame:
     """Uncapped score summary per proposed range; ranges without rows are absent."""
-    line = Moments("l", F.col("line"), F.col("n"))
-    score = Moments("s", F.col("score"), F.col("n"))
+    line, score = Moments("l", "line"), Moments("s", "score")
     return (
         ranged.groupBy("segment", "segment_order")
         .agg(
             *line.aggregates(),
             *score.aggregates(),
-            F.sum("n").alias("__rows"),
-            F.percentile("score", 0.5, F.col("n")).alias("__median"),
+            *exprs("sum(n) AS __rows", "percentile(score, 0.5D, n) AS __median"),
         )
-        .select(
+        .selectExpr(
             "segment",
             "segment_order",
-            F.col("__rows").alias("n"),
-            score.mean.alias("mean_actual"),
-            F.col("__median").alias("median_actual"),
-            score.std_sample.alias("std_actual"),
-            (score.mean - line.mean).alias("diff"),
+            "__rows AS n",
+            f"{score.mean} AS mean_actual",
+            "__median AS median_actual",
+            f"{score.std_sample} AS std_actual",
+            f"({score.mean}) - ({line.mean}) AS diff",
         )
     )
 
 
 def scores_above(freq: DataFrame, limit: float) -> DataFrame:
     """Rows with a score above the limit, and the highest score."""
-    high = F.sum(F.when(F.col("score") > F.lit(float(limit)), F.col("n")).otherwise(F.lit(0)))
-    return freq.agg(F.coalesce(high, F.lit(0)).alias("n_above"), F.max("score").alias("max_score"))
+    above = f"sum(CASE WHEN score > {num(limit)} THEN n ELSE 0L END)"
+    return freq.agg(*exprs(f"coalesce({above}, 0L) AS n_above", "max(score) AS max_score"))
 
 
-def _group_shape(freq: DataFrame, groups: Sequence[str], value: Column, min_rows: int) -> DataFrame:
-    """Ends, moments and bin width per group; equal ends are widened by one half either way."""
-    moments = Moments("v", value, F.col("n"))
-    line = Moments("l", F.col("line"), F.col("n"))
+def _group_shape(freq: DataFrame, groups: Sequence[str], value: str, min_rows: int) -> DataFrame:
+    """Ends and moments per group; equal ends are widened by one half either way."""
+    v, line = Moments("v", value), Moments("l", "line")
     shape = (
         freq.groupBy(*groups)
-        .agg(*moments.aggregates(), *line.aggregates(), F.sum("n").alias("__rows"))
-        .filter((F.col("__rows") >= min_rows) & (moments.n > 0))
+        .agg(*v.aggregates(), *line.aggregates(), *exprs("sum(n) AS __rows"))
+        .filter(f"__rows >= {min_rows} AND {v.n} > 0")
     )
-    flat = moments.min == moments.max
-    return shape.select(
+    return shape.selectExpr(
         *groups,
-        moments.n.alias("total"),
-        F.when(flat, moments.min - 0.5).otherwise(moments.min).alias("lo"),
-        F.when(flat, moments.max + 0.5).otherwise(moments.max).alias("hi"),
-        moments.mean.alias("mean_value"),
-        moments.std_sample.alias("std_value"),
-        line.mean.alias("mean_line"),
+        f"{v.n} AS total",
+        f"CASE WHEN {v.min} = {v.max} THEN {v.min} - 0.5D ELSE {v.min} END AS lo",
+        f"CASE WHEN {v.min} = {v.max} THEN {v.max} + 0.5D ELSE {v.max} END AS hi",
+        f"{v.mean} AS mean_value",
+        f"{v.std_sample} AS std_value",
+        f"{line.mean} AS mean_line",
     )
 
 
-def _edge(i: Column, bins: int) -> Column:
-    lo, hi = F.col("lo"), F.col("hi")
-    return F.when(i >= bins, hi).otherwise(i * ((hi - lo) / F.lit(float(bins))) + lo)
+def _edge(i: str, bins: int) -> str:
+    return f"CASE WHEN {i} >= {bins} THEN hi ELSE ({i}) * ((hi - lo) / {num(bins)}) + lo END"
 
 
-def _bin_of(value: Column, bins: int) -> Column:
-    """Bin of a value between ``lo`` and ``hi``: half-open bins, the last one closed, settled against the real edges."""
-    lo, hi = F.col("lo"), F.col("hi")
-    guess = F.least(F.floor((value - lo) / (hi - lo) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+def _settled_bin(bins: int) -> str:
+    """Bin of ``__value`` from a first guess: half-open bins, the last one closed, settled against the real edges."""
     return (
-        F.when(value < _edge(guess, bins), guess - 1)
-        .when((value >= _edge(guess + 1, bins)) & (guess < bins - 1), guess + 1)
-        .otherwise(guess)
+        f"CASE WHEN __value < {_edge('__guess', bins)} THEN __guess - 1 "
+        f"WHEN __value >= {_edge('__guess + 1', bins)} AND __guess < {bins - 1} THEN __guess + 1 ELSE __guess END"
     )
 
 
 def histogram(
     freq: DataFrame,
     groups: Sequence[str],
-    value: Column,
+    value: str,
     bins: int,
     min_rows: int = 1,
     few_groups: bool = True,
 ) -> DataFrame:
-    """Equal-width histogram per group over its own range, empty bins included.
+    """Equal-width histogram of an expression per group over the group's own range, empty bins included.
 
     Output: groups, bin, bin_low, bin_high, count, density, and the group's mean_line, mean_value, std_value.
     """
+
     def sized(df: DataFrame) -> DataFrame:
         # A group set from a rule has a handful of rows (times bins); otherwise Spark chooses the join by size.
         return F.broadcast(df) if few_groups else df
 
     shape = _group_shape(freq, groups, value, min_rows)
+    guess = F.expr(f"least(CAST(floor((__value - lo) / (hi - lo) * {num(bins)}) AS INT), {bins - 1})")
     filled = (
-        freq.withColumn("__value", value)
+        freq.withColumn("__value", F.expr(value))
         .join(sized(shape), list(groups))
-        .withColumn("bin", _bin_of(F.col("__value"), bins))
+        .withColumn("__guess", guess)
+        .withColumn("bin", F.expr(_settled_bin(bins)))
         .groupBy(*groups, "bin")
         .agg(F.sum("n").alias("count"))
     )
-    slots = shape.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    count = F.coalesce(F.col("count"), F.lit(0).cast("long"))
-    low, high = _edge(F.col("bin"), bins), _edge(F.col("bin") + 1, bins)
-    return slots.join(sized(filled), [*groups, "bin"], "left").select(
+    slots = shape.withColumn("bin", F.expr(f"explode(sequence(0, {bins - 1}))"))
+    edged = slots.withColumns({"bin_low": F.expr(_edge("bin", bins)), "bin_high": F.expr(_edge("bin + 1", bins))})
+    return edged.join(sized(filled), [*groups, "bin"], "left").selectExpr(
         *groups,
         "bin",
-        low.alias("bin_low"),
-        high.alias("bin_high"),
-        count.alias("count"),
-        (count / (F.col("total") * (high - low))).alias("density"),
+        "bin_low",
+        "bin_high",
+        "coalesce(count, 0L) AS count",
+        "coalesce(count, 0L) / (total * (bin_high - bin_low)) AS density",
         "mean_line",
         "mean_value",
         "std_value",
     )
 
 
-def score_histogram(freq: DataFrame, groups: Sequence[str], score_cap: float | None, bins: int = 30, min_rows: int = 10) -> DataFrame:
-    return histogram(freq, groups, cap(F.col("score"), score_cap), bins, min_rows)
+def score_histogram(
+    freq: DataFrame, groups: Sequence[str], score_cap: float | None, bins: int = 30, min_rows: int = 10
+) -> DataFrame:
+    return histogram(freq, groups, cap("score", score_cap), bins, min_rows)
 
 
 def expected_density(histogram_rows: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Observed density beside the fitted normal's density at the middle of each bin (centre: mean line)."""
-    middle = (F.col("bin_low") + F.col("bin_high")) / 2
-    return histogram_rows.select(
+    middle = "(bin_low + bin_high) / 2.0D"
+    return histogram_rows.selectExpr(
         *groups,
         "bin",
-        middle.alias("bin_center"),
-        F.col("density").alias("observed_density"),
-        normal_pdf(middle, F.col("mean_line"), F.col("std_value")).alias("expected_density"),
-        F.col("mean_line").alias("mean_line"),
-        F.col("mean_value").alias("mean_actual"),
-        F.col("std_value").alias("std_actual"),
+        f"{middle} AS bin_center",
+        "density AS observed_density",
+        f"{normal_pdf(middle, 'mean_line', 'std_value')} AS expected_density",
+        "mean_line",
+        "mean_value AS mean_actual",
+        "std_value AS std_actual",
     )
 
 
 def spread_bands(freq: DataFrame, groups: Sequence[str], score_cap: float | None, min_rows: int = 10) -> DataFrame:
     """One- and two-deviation bands around each line of a segment, and the share of its scores inside them."""
-    score = cap(F.col("score"), score_cap)
-    shape = _group_shape(freq, groups, score, min_rows).select(*groups, F.col("std_value").alias("sigma"))
+    score = cap("score", score_cap)
+    shape = _group_shape(freq, groups, score, min_rows).selectExpr(*groups, "std_value AS sigma")
     banded = (
         scored_rows(freq)
         .join(F.broadcast(shape), list(groups))
-        .withColumn("__gap", F.abs(score - F.col("line")))
+        .withColumn("__gap", F.expr(f"abs(({score}) - line)"))
     )
-    sigma, line = F.col("sigma"), F.col("line")
-
-    def inside(k: int) -> Column:
-        hit = F.when(F.col("__gap") <= k * sigma, F.col("n")).otherwise(F.lit(0))
-        return F.sum(hit) / F.sum("n")
-
     per_line = banded.groupBy(*groups, "line", "sigma").agg(
-        F.sum("n").alias("n"), inside(1).alias("inside1"), inside(2).alias("inside2")
+        *exprs(
+            "sum(n) AS n", f"{share('__gap <= sigma')} AS inside1", f"{share('__gap <= 2 * sigma')} AS inside2"
+        )
     )
-    return per_line.select(
+    return per_line.selectExpr(
         *groups,
         "line",
         "n",
-        (line - sigma).alias("low1"),
-        (line + sigma).alias("high1"),
-        (line - 2 * sigma).alias("low2"),
-        (line + 2 * sigma).alias("high2"),
+        "line - sigma AS low1",
+        "line + sigma AS high1",
+        "line - 2 * sigma AS low2",
+        "line + 2 * sigma AS high2",
         "inside1",
         "inside2",
     )
@@ -251,8 +237,8 @@ def spread_bands(freq: DataFrame, groups: Sequence[str], score_cap: float | None
 def line_score_pairs(freq: DataFrame, groups: Sequence[str], score_cap: float | None) -> DataFrame:
     """Multiplicity of each (line, capped score) pair per segment."""
     return (
-        freq.filter(F.col("line").isNotNull() & F.col("score").isNotNull())
-        .groupBy(*groups, "line", cap(F.col("score"), score_cap).alias("score"))
+        freq.filter("line IS NOT NULL AND score IS NOT NULL")
+        .groupBy(*groups, "line", F.expr(f"{cap('score', score_cap)} AS score"))
         .agg(F.sum("n").alias("n"))
     )
 

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linegauge.functions.numbers import missing_to_null
-
 IDENTITY = [
     "overall_league", "description", "stat_type_id", "league_name", "player_name", "pred_line_score",
     "stat_type_name", "outcome_was_over", "outcome_was_under", "score",
@@ -21,7 +19,7 @@ PICK_COLUMNS = [
 
 def scored_numbers(picks: DataFrame) -> DataFrame:
     """NaN lines and scores become NULL, so that aggregates treat them as missing."""
-    return picks.withColumns({c: missing_to_null(F.col(c)) for c in ("pred_line_score", "score")})
+    return picks.withColumns({c: F.expr(f"nanvl({c}, NULL)") for c in ("pred_line_score", "score")})
 
 
 def eligible(

@@ -2,35 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linegauge.functions.numbers import exprs, num
 from linegauge.functions.rules import RangeRule, SegmentRule
 
 
 def with_segment(rows: DataFrame, rule: SegmentRule, line: str = "line") -> DataFrame:
-    return rows.withColumns({"segment": rule.code(F.col(line)), "segment_order": rule.order(F.col(line))})
+    return rows.withColumns({"segment": rule.code(line), "segment_order": rule.order(line)})
 
 
 def with_range(rows: DataFrame, rule: RangeRule, line: str = "line") -> DataFrame:
     """Rows inside one of the ranges; rows outside every range drop out."""
-    ranged = rows.withColumns({"segment": rule.name(F.col(line)), "segment_order": rule.order(F.col(line))})
+    ranged = rows.withColumns({"segment": rule.name(line), "segment_order": rule.order(line)})
     return ranged.filter(F.col("segment_order").isNotNull())
 
 
-def _steps(q: int) -> Column:
-    # Multiples of the step, as array libraries space them: 0.30000000000000004 rather than 0.3 for q = 10.
-    return F.array(*[F.lit(i * (1.0 / q)) for i in range(q)], F.lit(1.0))
+def quantile_points(q: int) -> list[float]:
+    """Multiples of 1/q as array libraries space them and pass them through percent (0.30000000000000004, not 0.3)."""
+    return [i * (1.0 / q) * 100.0 / 100.0 for i in range(q)] + [1.0]
 
 
 def quantile_edges(freq: DataFrame, *qs: int) -> DataFrame:
     """One row; for each q a column ``edges_<q>`` with the q+1 linearly interpolated quantile edges of the line.
 
-    NULL lines do not count.
+    A bucket's ends decide where whole lines go, so the edges must be right to the last bit. The built-in percentile
+    weighs both neighbours, which can miss a line by one unit; here the two order statistics are read off the running
+    counts and interpolated from the nearer one. The running count goes over distinct lines, not picks. NULL lines do
+    not count.
     """
-    # Adding lines up first keeps the buffers at one entry per distinct line.
-    lines = freq.groupBy("line").agg(F.sum("n").alias("n"))
-    return lines.agg(*[F.percentile("line", _steps(q), F.col("n")).alias(f"edges_{q}") for q in qs])
+    lines = freq.groupBy("line").agg(F.sum(F.expr("n * CAST(line IS NOT NULL AS BIGINT)")).alias("n")).filter("n > 0")
+    ranked = lines.select(
+        "line",
+        F.sum("n").over(Window.orderBy("line")).alias("upto"),
+        F.sum("n").over(Window.partitionBy()).alias("total"),
+    )
+    neighbours, edges = [], []
+    for q in qs:
+        places = []
+        for i, p in enumerate(quantile_points(q)):
+            place = f"((total - 1) * {num(p)})"
+            neighbours.append(f"min(CASE WHEN upto > floor({place}) THEN line END) AS lo_{q}_{i}")
+            neighbours.append(f"min(CASE WHEN upto > floor({place}) + 1 THEN line END) AS hi_{q}_{i}")
+            lo, hi, t = f"lo_{q}_{i}", f"coalesce(hi_{q}_{i}, lo_{q}_{i})", f"({place} - floor({place}))"
+            places.append(
+                f"CASE WHEN {t} >= 0.5D THEN {hi} - ({hi} - {lo}) * (1 - {t}) ELSE {lo} + ({hi} - {lo}) * {t} END"
+            )
+        edges.append(f"array({', '.join(places)}) AS edges_{q}")
+    return ranked.agg(*exprs("max(total) AS total", *neighbours)).selectExpr(*edges)
 
 
 def edge_rows(freq: DataFrame, q: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from linegauge.functions import normal
 from linegauge.operators.calibration import EDGES
+from linegauge.operators.segments import quantile_points
 from linegauge.plans.registry import CUT, FANTASY, FORMAT, GAMES, ONE_LINE, PLAYER, SIGMA_OVERRIDE
 from linegauge.sources import fixed_values as fixed
 
@@ -152,11 +153,13 @@ FROM seg GROUP BY segment, segment_order"""
 
 
 def edges(q: int) -> str:
-    rows = " UNION ALL ".join(
-        f"SELECT {i} AS edge_no, quantile_cont(pred_line_score, {(1.0 if i == q else i * (1.0 / q))!r}) AS edge FROM study"
-        for i in range(q + 1)
-    )
-    return f"edges_{q} AS ({rows})"
+    points = ", ".join(f"({i}, {p!r}::DOUBLE)" for i, p in enumerate(quantile_points(q)))
+    return f"""sorted_{q} AS (SELECT list(pred_line_score ORDER BY pred_line_score) AS v FROM study),
+place_{q} AS (SELECT edge_no, v, (len(v) - 1) * p AS place FROM sorted_{q}, (VALUES {points}) AS t(edge_no, p)),
+near_{q} AS (SELECT edge_no, place - floor(place) AS t, v[CAST(floor(place) AS BIGINT) + 1] AS lo,
+    v[least(CAST(floor(place) AS BIGINT) + 2, len(v))] AS hi FROM place_{q}),
+edges_{q} AS (SELECT edge_no, CASE WHEN t >= 0.5e0 THEN hi - (hi - lo) * (1e0 - t) ELSE lo + (hi - lo) * t END AS edge
+  FROM near_{q})"""
 
 
 def slot(q: int) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linegauge.functions import rules
+from linegauge.functions.numbers import exprs
 from linegauge.operators import calibration as cal
 from linegauge.operators import distribution as dist
 from linegauge.operators import picks as pk
@@ -128,20 +129,11 @@ def compare_strategies(freq: DataFrame, profile: Profile) -> DataFrame:
     A strategy without a qualifying segment has infinite error.
     """
     evaluated = cal.evaluate_segmentation(strategies(freq), STRATEGY_KEYS, profile.min_segment_rows)
-    orders = range(1, len(STRATEGIES) + 1)
-    totals = evaluated.agg(*[cal.row_weighted_mace(F.col("strategy_order") == k).alias(f"mace_{k}") for k in orders])
-    entries = F.array(
-        *[
-            F.struct(
-                F.col(f"mace_{k}").alias("weighted_mace"),
-                F.lit(k).alias("strategy_order"),
-                F.lit(STRATEGIES[k - 1]).alias("strategy"),
-            )
-            for k in orders
-        ]
-    )
-    listed = totals.select(F.array_min(entries)["strategy_order"].alias("best"), F.inline(entries))
-    return listed.select("strategy", "strategy_order", "weighted_mace", (F.col("strategy_order") == F.col("best")).alias("is_best"))
+    names = list(enumerate(STRATEGIES, 1))
+    totals = evaluated.agg(*exprs(*[f"{cal.row_weighted_mace(f'strategy_order = {k}')} AS mace_{k}" for k, _ in names]))
+    entries = ", ".join(f"struct(mace_{k} AS weighted_mace, {k} AS strategy_order, '{s}' AS strategy)" for k, s in names)
+    listed = totals.selectExpr(f"array_min(array({entries})).strategy_order AS best", f"inline(array({entries}))")
+    return listed.selectExpr("strategy", "strategy_order", "weighted_mace", "strategy_order = best AS is_best")
 
 
 def line_calibration(freq: DataFrame, profile: Profile) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linegauge.functions.numbers import round_even
 from linegauge.operators import calibration as cal
 from linegauge.operators import distribution as dist
 from linegauge.operators import flatten as flat
@@ -37,16 +37,15 @@ ONE_LINE = 11.5
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles rounded to six digits and dates as text, so that two engines print the same values."""
 
-    def shown(field: T.StructField):
-        c = F.col(field.name)
+    def shown(field: T.StructField) -> str:
         if isinstance(field.dataType, T.DoubleType):
             # Adding zero turns a negative zero into zero.
-            return (F.rint(c * F.lit(1e6)) / F.lit(1e6) + F.lit(0.0)).alias(field.name)
+            return f"{round_even(field.name, 6)} + 0.0D AS {field.name}"
         if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return c.cast("string").alias(field.name)
-        return c
+            return f"CAST({field.name} AS STRING) AS {field.name}"
+        return field.name
 
-    return df.select(*[shown(f) for f in df.schema.fields])
+    return df.selectExpr(*[shown(f) for f in df.schema.fields])
 
 
 def _freq(spark: SparkSession, d: str, profile: pr.Profile) -> DataFrame:
@@ -87,13 +86,13 @@ def _pick_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _segment_columns(picks: DataFrame) -> DataFrame:
-    line = F.col("pred_line_score")
+    line = "pred_line_score"
     return picks.withColumns({"segment": GAMES.rule.code(line), "segment_label": GAMES.rule.label(line)})
 
 
 def _player_lines(picks: DataFrame) -> DataFrame:
     mine = pk.of_player(pr.study_picks(picks, GAMES), PLAYER)
-    rows = dist.histogram(pk.score_frequency(mine, "player_name"), ["player_name"], F.col("line"), bins=60)
+    rows = dist.histogram(pk.score_frequency(mine, "player_name"), ["player_name"], "line", bins=60)
     return rows.select("player_name", "bin", "bin_low", "bin_high", "count")
 
 
