@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linegauge.operators.reference import orphan_seasons
+
 
 def missing_ids(rows: DataFrame) -> DataFrame:
     """Number of rows, and of rows without an id."""
@@ -19,3 +21,22 @@ def repeated_ids(rows: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 1)
     )
+
+
+def reference_checks(competitions: DataFrame, seasons: DataFrame) -> DataFrame:
+    """One row per check with the number of violations: missing ids, repeated ids, seasons of unknown competitions."""
+
+    def counted(check: str, violations: DataFrame) -> DataFrame:
+        return violations.agg(F.lit(check).alias("check"), F.count(F.lit(1)).alias("n"))
+
+    checks = [
+        counted("competition_id_missing", competitions.filter(F.col("id").isNull())),
+        counted("competition_id_repeated", repeated_ids(competitions)),
+        counted("season_id_missing", seasons.filter(F.col("id").isNull())),
+        counted("season_id_repeated", repeated_ids(seasons)),
+        counted("season_orphan", orphan_seasons(seasons, competitions)),
+    ]
+    found = checks[0]
+    for check in checks[1:]:
+        found = found.unionByName(check)
+    return found

@@ -376,6 +376,11 @@ FIXTURES_FLAT = f"WITH {FIXTURES} SELECT * FROM fixtures"
 COMPETITIONS_FLAT = f"WITH {COMPETITIONS} SELECT * FROM comps"
 SEASONS_FLAT = f"WITH {SEASONS} SELECT * FROM seasons"
 TWICE = "(SELECT 1 UNION ALL SELECT 2)"
+PAGE_REACH = """numerical_id % 12 + 1 <= 10
+  AND numerical_id % 12 + 1 <= CASE (numerical_id // 12) % 3 WHEN 1 THEN 9 WHEN 2 THEN 12 ELSE 1 END"""
+EVENT = f"""{PAGE_REACH} AND sport_id = 'tennis' AND season_type = 'Australian Open' AND season_week IN ({names(fixed.ROUNDS)})"""
+TOP_TIER = f"""category_id IN ({INCLUDED})
+  AND (category_id IN ({names(fixed.TEAM_CUP_CATEGORIES)}) OR level IN ({names(fixed.TOP_LEVELS)}))"""
 
 ORACLES: dict[str, str] = {
     "pick_table": f"WITH {PICKS} SELECT {ALL_COLUMNS} FROM picks",
@@ -462,8 +467,10 @@ ORACLES: dict[str, str] = {
     "fixture_active": f"{FIXTURES_FLAT} WHERE sport_id = 'tennis' AND league_id = 'wta' AND (status = 'scheduled' OR is_live)",
     "fixture_rounds": f"""{FIXTURES_FLAT} WHERE sport_id = 'tennis' AND season_type = 'Australian Open'
       AND season_week IN ({names(fixed.ROUNDS)})""",
-    "pages_union": f"""WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE} WHERE numerical_id % 12 + 1 <= 10
-      AND numerical_id % 12 + 1 <= CASE (numerical_id // 12) % 3 WHEN 1 THEN 9 WHEN 2 THEN 12 ELSE 1 END""",
+    "pages_union": f"WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE} WHERE {PAGE_REACH}",
+    "event_fixtures": f"WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE} WHERE {EVENT}",
+    "event_odds": f"""WITH {FIXTURES}, {ODDS} SELECT odds.* FROM odds, {TWICE} WHERE CAST(id AS BIGINT) % 9 <> 0
+      AND fixture_id IN (SELECT id FROM fixtures WHERE {EVENT})""",
     "market_ids": f"WITH {MARKETS} SELECT id FROM markets",
     "market_count": "SELECT count(*) AS n_markets FROM part",
     "market_non_numeric": f"WITH {MARKETS} SELECT id FROM markets WHERE NOT regexp_matches(id, '^[0-9]')",
@@ -485,8 +492,7 @@ ORACLES: dict[str, str] = {
     "competition_excluded": f"{COMPETITIONS_FLAT} WHERE category_id IN ({names(c[0] for c in fixed.EXCLUDED_CATEGORIES)})",
     "competition_not_excluded": f"""{COMPETITIONS_FLAT} WHERE category_id IS NULL OR category_id NOT IN
       ({names(c[0] for c in fixed.EXCLUDED_CATEGORIES if not c[2])})""",
-    "competition_top_tier": f"""{COMPETITIONS_FLAT} WHERE category_id IN ({INCLUDED})
-      AND (category_id IN ({names(fixed.TEAM_CUP_CATEGORIES)}) OR level IN ({names(fixed.TOP_LEVELS)}))""",
+    "competition_top_tier": f"{COMPETITIONS_FLAT} WHERE {TOP_TIER}",
     "category_label": f"""WITH {COMPETITIONS}, {CATEGORIES} SELECT comps.*, category, decision, optional, reason
       FROM comps LEFT JOIN cat USING (category_id)""",
     "season_flatten": SEASONS_FLAT,
@@ -497,6 +503,18 @@ ORACLES: dict[str, str] = {
       FROM seasons JOIN tour USING (competition_id)""",
     "season_orphans": f"""WITH {COMPETITIONS}, {SEASONS} SELECT * FROM seasons
       WHERE NOT EXISTS (SELECT 1 FROM comps WHERE comps.id = seasons.competition_id)""",
+    "season_top_tier": f"""WITH {COMPETITIONS}, {SEASONS} SELECT * FROM seasons
+      WHERE competition_id IN (SELECT id FROM comps WHERE {TOP_TIER})""",
+    "reference_tables": f"""WITH {COMPETITIONS}, {SEASONS} SELECT seasons.*, level FROM seasons
+      JOIN (SELECT id AS competition_id, level, category_id FROM comps) USING (competition_id) WHERE {TOP_TIER}""",
+    "reference_checks": f"""WITH {SNAPSHOTS}, {SEASONS},
+      twice AS (SELECT id FROM comps WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)
+      SELECT 'competition_id_missing' AS "check", count(*) AS n FROM comps WHERE id IS NULL
+      UNION ALL SELECT 'competition_id_repeated', count(*) FROM twice
+      UNION ALL SELECT 'season_id_missing', count(*) FROM seasons WHERE id IS NULL
+      UNION ALL SELECT 'season_id_repeated', count(*) - count(DISTINCT id) FROM seasons
+      UNION ALL SELECT 'season_orphan', count(*) FROM seasons
+        WHERE NOT EXISTS (SELECT 1 FROM comps WHERE comps.id = seasons.competition_id)""",
     "id_missing": f"WITH {SNAPSHOTS} SELECT count(*) AS n_rows, count(*) FILTER (id IS NULL) AS n_missing FROM comps",
     "id_duplicates": f"WITH {SNAPSHOTS} SELECT id, count(*) AS n FROM comps WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1",
 }

@@ -141,11 +141,12 @@ def line_calibration(freq: DataFrame, profile: Profile) -> DataFrame:
 
 
 def report(picks: DataFrame, profile: Profile) -> dict[str, DataFrame]:
-    """All tables of a study from one cached frequency table (some thousand rows)."""
+    """All tables of a study from one cached frequency table (some thousand rows), which is among them."""
     freq = segmented_frequency(picks, profile).persist()
     lines = dist.line_summary(freq, profile.line_cap, profile.min_line_rows)
     hist = dist.score_histogram(freq, SEGMENT, profile.distribution_cap, min_rows=profile.min_segment_rows)
     tables = {
+        "score_frequency": freq,
         "segment_stats": dist.segment_stats(freq),
         "segment_counts": dist.segment_counts(freq),
         "calibration_bins": cal.bin_table(segment_percentiles(freq, profile), SEGMENT),

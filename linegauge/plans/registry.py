@@ -17,9 +17,10 @@ from linegauge.operators import quality
 from linegauge.operators import reference as ref
 from linegauge.operators import scopes
 from linegauge.operators import segments as seg
+from linegauge.plans import load_jobs
 from linegauge.plans import pick_reports as pr
 from linegauge.session import scratch_dir
-from linegauge.sources import landed, tables, tpch
+from linegauge.sources import landed, schemas, tables, tpch
 from linegauge.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,6 +250,18 @@ def _streamed(source: Callable[[SparkSession, str], DataFrame], start: Callable,
     return run
 
 
+def _event_fixtures(spark: SparkSession, d: str) -> DataFrame:
+    path = tables.dump_json(tpch.fixture_pages(spark, d), scratch_dir(spark, "pages"))
+    pages = landed.scan_json(spark, path, schemas.FIXTURE_PAGE, documents=False)
+    return load_jobs.event_fixtures(pages, ["request"], sport="tennis", season_type="Australian Open")
+
+
+def _event_odds(spark: SparkSession, d: str) -> DataFrame:
+    path = tables.dump_json(tpch.odds_payloads(spark, d), scratch_dir(spark, "payloads"))
+    payloads = landed.scan_json(spark, path, schemas.ODDS_PAYLOAD, documents=False)
+    return load_jobs.event_odds(payloads, _event_fixtures(spark, d))
+
+
 def _market_summary(markets: DataFrame) -> DataFrame:
     return pk.count_rows(markets, "n_markets")
 
@@ -300,6 +313,8 @@ INGEST_QUERIES: dict[str, Query] = {
         "pages",
         lambda s, p: flat.flat_fixtures(landed.fixture_pages(s, p, request=["request"], documents=False)),
     ),
+    "event_fixtures": _event_fixtures,
+    "event_odds": _event_odds,
     "market_ids": _landed(
         tpch.market_lists, "markets", lambda s, p: scopes.ids(landed.markets(s, p, documents=False))
     ),
@@ -333,6 +348,23 @@ def _snapshots(spark: SparkSession, d: str) -> DataFrame:
     return flat.flat_competitions(tpch.competition_snapshots(spark, d))
 
 
+def _reference_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Load both feeds into new tables, then join what was stored."""
+    feeds = [
+        tables.dump_json(source(spark, d), scratch_dir(spark, label))
+        for source, label in ((tpch.competition_feeds, "competitions"), (tpch.season_feeds, "seasons"))
+    ]
+    places = [scratch_dir(spark, label) for label in ("competition-table", "season-table")]
+    names = [place.rsplit("/", 1)[1].replace("-", "_") for place in places]
+    tables.create_reference_tables(spark, *names, *places)
+    load_jobs.load_reference(spark, *feeds, *names, top_only=True, documents=False)
+    stored = [spark.table(name).schema for name in names]
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")  # external: only the catalog entry goes
+    competitions, seasons = (spark.read.schema(sc).parquet(p) for sc, p in zip(stored, places))
+    return seasons.join(competitions.selectExpr("id AS competition_id", "level"), "competition_id")
+
+
 REFERENCE_QUERIES: dict[str, Query] = {
     "competition_flatten": _competitions,
     "competition_feed_scan": _landed(
@@ -352,6 +384,9 @@ REFERENCE_QUERIES: dict[str, Query] = {
     "season_semi": lambda s, d: ref.seasons_of(_seasons(s, d), ref.main_circuits(_competitions(s, d))),
     "season_tournament": _of(_seasons, ref.seasons_with_tournament),
     "season_orphans": lambda s, d: ref.orphan_seasons(_seasons(s, d), _competitions(s, d)),
+    "season_top_tier": lambda s, d: load_jobs.main_reference(_competitions(s, d), _seasons(s, d), top_only=True)[1],
+    "reference_tables": _reference_tables,
+    "reference_checks": lambda s, d: quality.reference_checks(_snapshots(s, d), _seasons(s, d)),
     "id_missing": _of(_snapshots, quality.missing_ids),
     "id_duplicates": _of(_snapshots, quality.repeated_ids),
 }

@@ -18,6 +18,9 @@ from linegauge.sources.fixed_values import MAX_PAGES
 
 Paths = str | Sequence[str]
 
+# Parts a request's pages are spread over when joined with its last page.
+SALTS = 32
+
 
 def scan_json(spark: SparkSession, path: Paths, schema: T.StructType, documents: bool = True) -> DataFrame:
     paths = path if isinstance(path, str) else list(path)
@@ -42,14 +45,19 @@ def pages_in_reach(pages: DataFrame, request: Sequence[str] = (), max_pages: int
     """Pages a reader would have fetched: from page 1 up to ``max_pages``, ending with the first page whose number is
     not below its own ``total_pages`` (taken as 1 when absent). ``request`` names the columns that identify a request.
 
-    The last page per request is a small table of keys and numbers; the page contents are not grouped.
+    The last page per request is a table of keys and numbers; page contents are not grouped. It is joined back on the
+    request and a salt from the page number, so that a request with very many pages spreads over ``SALTS`` tasks.
     """
     ends_here = F.col("page") >= F.coalesce(F.col("total_pages"), F.lit(1))
     last = F.min(F.when(ends_here, F.col("page"))).alias("last_page")
     in_reach = (F.col("page") <= max_pages) & (F.col("page") <= F.coalesce("last_page", F.col("page")))
     if request:
-        stops = pages.groupBy(*request).agg(last)
-        return pages.join(stops, list(request)).filter(in_reach).drop("last_page")
+        stops = pages.groupBy(*[F.col(c).alias(f"__{c}") for c in request]).agg(last)
+        salted = stops.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same = F.pmod(F.coalesce("page", F.lit(0)), F.lit(SALTS)).cast("int") == F.col("__salt")
+        for c in request:
+            same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+        return pages.join(salted, same).filter(in_reach).select(*pages.columns)
     stop = pages.agg(last).scalar()
     return pages.withColumn("last_page", stop).filter(in_reach).drop("last_page")
 

@@ -36,11 +36,17 @@ def create_fixture_table(spark: SparkSession, table: str, location: str | None =
     return create_table_if_absent(spark, table, schemas.FLAT_FIXTURE, location)
 
 
-def create_reference_tables(spark: SparkSession, competitions: str, seasons: str) -> tuple[bool, bool]:
+def create_reference_tables(
+    spark: SparkSession,
+    competitions: str,
+    seasons: str,
+    competition_location: str | None = None,
+    season_location: str | None = None,
+) -> tuple[bool, bool]:
     """Competition and season tables. Keys are checked by the jobs in ``operators.quality``, files cannot enforce them."""
     return (
-        create_table_if_absent(spark, competitions, schemas.COMPETITIONS),
-        create_table_if_absent(spark, seasons, schemas.SEASONS),
+        create_table_if_absent(spark, competitions, schemas.COMPETITIONS, competition_location),
+        create_table_if_absent(spark, seasons, schemas.SEASONS, season_location),
     )
 
 

@@ -15,6 +15,7 @@ def spark():
     from linegauge.session import local_session
 
     session = local_session(memory="4g")
+    session.conf.set("spark.sql.maxMetadataStringLength", "4000")
     yield session
     session.stop()
 
