@@ -33,24 +33,21 @@ def quantile_edges(freq: DataFrame, *qs: int) -> DataFrame:
     not count.
     """
     lines = freq.groupBy("line").agg(F.sum(F.expr("n * CAST(line IS NOT NULL AS BIGINT)")).alias("n")).filter("n > 0")
-    ranked = lines.select(
-        "line",
-        F.sum("n").over(Window.orderBy("line")).alias("upto"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
+    runs = lines.select("line", F.sum("n").over(Window.orderBy("line")).alias("upto")).agg(
+        *exprs("sort_array(collect_list(struct(upto, line))) AS runs", "max(upto) AS total")
     )
-    neighbours, edges = [], []
-    for q in qs:
-        places = []
-        for i, p in enumerate(quantile_points(q)):
-            place = f"((total - 1) * {num(p)})"
-            neighbours.append(f"min(CASE WHEN upto > floor({place}) THEN line END) AS lo_{q}_{i}")
-            neighbours.append(f"min(CASE WHEN upto > floor({place}) + 1 THEN line END) AS hi_{q}_{i}")
-            lo, hi, t = f"lo_{q}_{i}", f"coalesce(hi_{q}_{i}, lo_{q}_{i})", f"({place} - floor({place}))"
-            places.append(
-                f"CASE WHEN {t} >= 0.5D THEN {hi} - ({hi} - {lo}) * (1 - {t}) ELSE {lo} + ({hi} - {lo}) * {t} END"
-            )
-        edges.append(f"array({', '.join(places)}) AS edges_{q}")
-    return ranked.agg(*exprs("max(total) AS total", *neighbours)).selectExpr(*edges)
+
+    def edges(q: int) -> str:
+        places = f"transform(array({', '.join(map(num, quantile_points(q)))}), p -> (total - 1) * p)"
+        after = lambda rank: f"get(filter(runs, r -> r.upto > {rank}), 0).line"
+        near = f"struct(k - floor(k) AS t, {after('floor(k)')} AS lo, {after('floor(k) + 1')} AS hi)"
+        between = (
+            "CASE WHEN e.t = 0 OR e.hi IS NULL THEN e.lo WHEN e.t >= 0.5D THEN e.hi - (e.hi - e.lo) * (1 - e.t) "
+            "ELSE e.lo + (e.hi - e.lo) * e.t END"
+        )
+        return f"transform(transform({places}, k -> {near}), e -> {between}) AS edges_{q}"
+
+    return runs.selectExpr(*[edges(q) for q in qs])
 
 
 def edge_rows(freq: DataFrame, q: int) -> DataFrame:
