@@ -19,7 +19,7 @@ _schemas: dict[tuple[str, str], T.StructType] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table. Its schema is read from the files once per application, not on every use."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.conf.get("spark.app.id"), path)
     if key not in _schemas:
         _schemas[key] = spark.read.parquet(path).schema
     return spark.read.schema(_schemas[key]).parquet(path)
