@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linegauge.functions.labels import bias_direction, line_bias, line_bias_text, segment_interpretation
@@ -64,20 +64,13 @@ def percentiles(
     min_rows: int = MIN_SEGMENT_ROWS,
     sigma_override: SigmaOverride = None,
     few_groups: bool = True,
-    numbered: bool = False,
 ) -> DataFrame:
     """Percentile of every (line, score) pair under its group's normal; groups below ``min_rows`` drop out.
 
     ``few_groups`` states that the group columns come from a rule or a quantile count, so the sigma table has a handful
     of rows and is broadcast. Set it to False for arbitrary group columns and Spark picks the join by size.
-    ``numbered`` adds ``group_no``: the group's place (third group column) within its first group column, counted before
-    small groups drop out. It too needs few groups.
     """
-    sigma = segment_sigma(freq, groups)
-    if numbered:
-        place = Window.partitionBy(groups[0]).orderBy(groups[2])
-        sigma = sigma.withColumn("group_no", F.row_number().over(place))
-    sigma = sigma.filter(F.col("n_scored") >= min_rows)
+    sigma = segment_sigma(freq, groups).filter(F.col("n_scored") >= min_rows)
     sigma = sigma.withColumn("sigma", F.expr(_overridden(sigma_override, groups[0])))
     joined = scored_rows(freq).join(F.broadcast(sigma) if few_groups else sigma, list(groups))
     return with_line_percentile(joined)
@@ -135,22 +128,14 @@ def calibration_metrics(percentile_rows: DataFrame, groups: Sequence[str]) -> Da
 
 
 def evaluate_segmentation(
-    freq: DataFrame,
-    groups: Sequence[str],
-    min_rows: int = MIN_SEGMENT_ROWS,
-    few_groups: bool = True,
-    numbered: bool = False,
+    freq: DataFrame, groups: Sequence[str], min_rows: int = MIN_SEGMENT_ROWS, few_groups: bool = True
 ) -> DataFrame:
-    """Rows, deviation and calibration error per segment of one or several segmentations.
-
-    ``numbered`` adds ``group_no``, see :func:`percentiles`.
-    """
-    rows = percentiles(freq, groups, min_rows=min_rows, few_groups=few_groups, numbered=numbered)
-    keys = [*groups, "group_no"] if numbered else list(groups)
+    """Rows, deviation and calibration error per segment of one or several segmentations."""
+    rows = percentiles(freq, groups, min_rows=min_rows, few_groups=few_groups)
     return (
-        rows.groupBy(*keys)
+        rows.groupBy(*groups)
         .agg(*exprs("sum(n) AS n", "max(sigma) AS std"), *_bin_shares())
-        .selectExpr(*keys, "n", "std", MACE)
+        .selectExpr(*groups, "n", "std", MACE)
     )
 
 

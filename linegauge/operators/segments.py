@@ -25,7 +25,8 @@ def quantile_points(q: int) -> list[float]:
 
 
 def quantile_edges(freq: DataFrame, *qs: int) -> DataFrame:
-    """One row; for each q a column ``edges_<q>`` with the q+1 linearly interpolated quantile edges of the line.
+    """One row: the distinct ``lines`` in order, and for each q a column ``edges_<q>`` with the q+1 linearly interpolated
+    quantile edges of the line.
 
     A bucket's ends decide where whole lines go, so the edges must be right to the last bit. The built-in percentile
     weighs both neighbours, which can miss a line by one unit; here the two order statistics are read off the running
@@ -47,7 +48,7 @@ def quantile_edges(freq: DataFrame, *qs: int) -> DataFrame:
         )
         return f"transform(transform({places}, k -> {near}), e -> {between}) AS edges_{q}"
 
-    return runs.selectExpr(*[edges(q) for q in qs])
+    return runs.selectExpr("runs.line AS lines", *[edges(q) for q in qs])
 
 
 def edge_rows(freq: DataFrame, q: int) -> DataFrame:
@@ -76,25 +77,34 @@ def slot(line: Column, edges: Column) -> Column:
     return F.when(line.isNotNull() & (F.size(edges) > 1), below + 1)
 
 
+def occupied_slots(lines: Column, edges: Column) -> Column:
+    """Slots that hold one of the lines, in order. Empty slots arise only between merged edges."""
+    return F.array_sort(F.array_distinct(F.transform(lines, lambda one: slot(one, edges))))
+
+
+def place_among(occupied: Column, number: Column) -> Column:
+    """Place of a slot among the occupied ones, from 1."""
+    return F.nullif(F.array_position(occupied, number).cast("int"), F.lit(0))
+
+
 def with_bucket(freq: DataFrame, q: int, prefix: str, duplicates: str = "raise") -> DataFrame:
     """Quantile bucket of each line: ``bucket`` (label), ``bucket_no``, ``bucket_low``, ``bucket_high``.
 
     Where repeated edges merge, labels number only the buckets that hold a line.
     """
-    edges = quantile_edges(freq, q).select(distinct_edges(F.col(f"edges_{q}"), q, duplicates)).scalar()
-    placed = freq.withColumn("__edges", edges).withColumn("__slot", slot(F.col("line"), F.col("__edges")))
-    number = F.col("__slot")
-    if duplicates == "drop":
-        observed = placed.agg(F.array_sort(F.collect_set("__slot")).alias("slots")).scalar()
-        number = F.nullif(F.array_position(observed, F.col("__slot")).cast("int"), F.lit(0))
+    distinct = distinct_edges(F.col(f"edges_{q}"), q, duplicates)
+    ends = quantile_edges(freq, q).select("lines", distinct.alias("edges"))
+    ends = ends.select(F.struct("edges", occupied_slots(F.col("lines"), F.col("edges")).alias("occupied")))
+    placed = freq.withColumn("__ends", ends.scalar()).withColumn("__slot", slot(F.col("line"), F.col("__ends.edges")))
+    number = F.col("__slot") if duplicates == "raise" else place_among(F.col("__ends.occupied"), F.col("__slot"))
     return placed.withColumns(
         {
             "bucket": F.concat(F.lit(prefix), number.cast("string")),
             "bucket_no": number,
-            "bucket_low": F.get("__edges", F.col("__slot") - 1),
-            "bucket_high": F.get("__edges", F.col("__slot")),
+            "bucket_low": F.get("__ends.edges", F.col("__slot") - 1),
+            "bucket_high": F.get("__ends.edges", F.col("__slot")),
         }
-    ).drop("__edges", "__slot")
+    ).drop("__ends", "__slot")
 
 
 def bucket_summary(bucketed: DataFrame) -> DataFrame:

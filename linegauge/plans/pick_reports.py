@@ -75,7 +75,7 @@ def metrics(freq: DataFrame, profile: Profile, sigma_override: cal.SigmaOverride
 
 
 STRATEGIES = ("3-Segment", "Quartiles", "Deciles")
-STRATEGY_KEYS = ("strategy", "strategy_order", "segment_order", "segment_prefix")
+STRATEGY_KEYS = ("strategy", "strategy_order", "segment", "segment_order")
 
 
 def strategies(freq: DataFrame) -> DataFrame:
@@ -85,42 +85,37 @@ def strategies(freq: DataFrame) -> DataFrame:
     edges must be unique; repeated decile edges merge, and if only one is left no pick has a decile.
     """
     both = seg.quantile_edges(freq, 4, 10).select(
-        F.struct(
-            seg.distinct_edges(F.col("edges_4"), 4, "raise").alias("quartile"),
-            seg.distinct_edges(F.col("edges_10"), 10, "drop").alias("decile"),
-        )
+        "lines",
+        seg.distinct_edges(F.col("edges_4"), 4, "raise").alias("quartile"),
+        seg.distinct_edges(F.col("edges_10"), 10, "drop").alias("decile"),
+    )
+    occupied = seg.occupied_slots(F.col("lines"), F.col("decile")).alias("occupied")
+    placed = freq.withColumn("__ends", both.select(F.struct("quartile", "decile", occupied)).scalar()).withColumns(
+        {
+            "__quartile": seg.slot(F.col("line"), F.col("__ends.quartile")),
+            "__decile": seg.place_among(
+                F.col("__ends.occupied"), seg.slot(F.col("line"), F.col("__ends.decile"))
+            ),
+        }
     )
-    edged = freq.withColumn("__edges", both.scalar())
-
-    def entry(order: int, prefix, number):
-        return F.struct(
-            F.lit(STRATEGIES[order - 1]).alias("strategy"),
-            F.lit(order).alias("strategy_order"),
-            number.alias("segment_order"),
-            prefix.alias("segment_prefix"),
+    entries = ", ".join(
+        f"struct('{name}' AS strategy, {order} AS strategy_order, {label} AS segment, {number} AS segment_order)"
+        for order, (name, label, number) in enumerate(
+            zip(
+                STRATEGIES,
+                ("segment", "concat('Q', __quartile)", "concat('D', __decile)"),
+                ("segment_order", "__quartile", "__decile"),
+            ),
+            1,
         )
-
-    entries = F.array(
-        entry(1, F.col("segment"), F.col("segment_order")),
-        entry(2, F.lit("Q"), seg.slot(F.col("line"), F.col("__edges.quartile"))),
-        entry(3, F.lit("D"), seg.slot(F.col("line"), F.col("__edges.decile"))),
     )
-    placed = edged.select("line", "score", "n", F.inline(entries))
-    return placed.filter(F.col("segment_order").isNotNull())
+    listed = placed.selectExpr("line", "score", "n", f"inline(array({entries}))")
+    return listed.filter("segment_order IS NOT NULL")
 
 
 def strategy_segments(freq: DataFrame, profile: Profile) -> DataFrame:
     """Rows, deviation and calibration error of every segment of every strategy."""
-    placed = strategies(freq)
-    evaluated = cal.evaluate_segmentation(placed, STRATEGY_KEYS, profile.min_segment_rows, numbered=True)
-    # Decile labels number the buckets that hold a line; rule segments carry their own name.
-    number = F.when(F.col("strategy_order") == 3, F.col("group_no")).otherwise(F.col("segment_order"))
-    label = F.when(F.col("strategy_order") == 1, F.col("segment_prefix")).otherwise(
-        F.concat("segment_prefix", number.cast("string"))
-    )
-    return evaluated.select(
-        "strategy", "strategy_order", label.alias("segment"), number.alias("segment_order"), "n", "std", "mace"
-    )
+    return cal.evaluate_segmentation(strategies(freq), STRATEGY_KEYS, profile.min_segment_rows)
 
 
 def compare_strategies(freq: DataFrame, profile: Profile) -> DataFrame:
@@ -128,7 +123,7 @@ def compare_strategies(freq: DataFrame, profile: Profile) -> DataFrame:
 
     A strategy without a qualifying segment has infinite error.
     """
-    evaluated = cal.evaluate_segmentation(strategies(freq), STRATEGY_KEYS, profile.min_segment_rows)
+    evaluated = strategy_segments(freq, profile)
     names = list(enumerate(STRATEGIES, 1))
     totals = evaluated.agg(*exprs(*[f"{cal.row_weighted_mace(f'strategy_order = {k}')} AS mace_{k}" for k, _ in names]))
     entries = ", ".join(f"struct(mace_{k} AS weighted_mace, {k} AS strategy_order, '{s}' AS strategy)" for k, s in names)

@@ -278,7 +278,9 @@ INGEST_QUERIES: dict[str, Query] = {
         tpch.odds_payloads, "payloads", lambda s, p: flat.flat_odds(landed.odds_payloads(s, p, documents=False))
     ),
     "match_header": _landed(
-        tpch.match_payloads, "matches", lambda s, p: landed.match_header(landed.match_payloads(s, p, documents=False))
+        tpch.match_payloads,
+        "matches",
+        lambda s, p: landed.match_header(landed.match_payloads(s, p, documents=False, odds=False)),
     ),
     "match_odds": _landed(
         tpch.match_payloads,

@@ -99,8 +99,9 @@ def match_odds(payloads: DataFrame) -> DataFrame:
     return payloads.select(first_element(F.col("data"))["odds"].alias("odds")).select(F.inline("odds"))
 
 
-def match_payloads(spark: SparkSession, path: Paths, documents: bool = True) -> DataFrame:
-    return scan_json(spark, path, schemas.MATCH_PAYLOAD, documents)
+def match_payloads(spark: SparkSession, path: Paths, documents: bool = True, odds: bool = True) -> DataFrame:
+    """Match payloads. Without ``odds`` the declared schema leaves them out and the reader skips over them."""
+    return scan_json(spark, path, schemas.MATCH_PAYLOAD if odds else schemas.MATCH_ATTRIBUTES, documents)
 
 
 def competition_feed(spark: SparkSession, path: Paths, documents: bool = True) -> DataFrame:

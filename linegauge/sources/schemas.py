@@ -52,14 +52,9 @@ SEASONS = T.StructType(
 
 FIXTURE_PAGE = _struct(request=_S, page=_L, total_pages=_L, data=T.ArrayType(RAW_FIXTURE))
 ODDS_PAYLOAD = _struct(fixture_id=_S, data=T.ArrayType(_struct(odds=T.ArrayType(RAW_ODDS))))
-MATCH_PAYLOAD = _struct(
-    data=T.ArrayType(
-        _struct(
-            away_team_display=_S, home_team_display=_S, season_type=_S, season_week=_S, venue_name=_S,
-            odds=T.ArrayType(RAW_ODDS),
-        )
-    )
-)
+_MATCH = dict(away_team_display=_S, home_team_display=_S, season_type=_S, season_week=_S, venue_name=_S)
+MATCH_ATTRIBUTES = _struct(data=T.ArrayType(_struct(**_MATCH)))
+MATCH_PAYLOAD = _struct(data=T.ArrayType(_struct(**_MATCH, odds=T.ArrayType(RAW_ODDS))))
 MARKET_LIST = _struct(data=T.ArrayType(_struct(id=_S)))
 LEAGUE_LIST = _struct(
     data=T.ArrayType(
