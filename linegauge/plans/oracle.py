@@ -57,14 +57,15 @@ def wanted(profile) -> str:
     return " AND ".join(tests)
 
 
-def study(profile) -> str:
-    cut = f" AND created_at_est > TIMESTAMP '{CUT}'" if profile.created_after else ""
+def study(profile=None) -> str:
+    cut = f" AND created_at_est > TIMESTAMP '{CUT}'" if profile and profile.created_after else ""
+    tests = wanted(profile) if profile else "true"
     return f"""{PICKS}, ranked AS (
   SELECT *, row_number() OVER (
            PARTITION BY overall_league, description, stat_type_id, league_name, player_name,
              CAST(pred_line_score AS VARCHAR), stat_type_name, outcome_was_over, outcome_was_under, CAST(score AS VARCHAR)
            ORDER BY created_at_est DESC) AS rn
-  FROM picks WHERE {wanted(profile)}),
+  FROM picks WHERE {tests}),
 study AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1{cut})"""
 
 
@@ -391,6 +392,8 @@ ORACLES: dict[str, str] = {
     "pick_latest_fantasy": f"WITH {study(FANTASY)} SELECT {KEPT_COLUMNS} FROM study",
     "pick_latest_format": f"WITH {study(FORMAT)} SELECT {KEPT_COLUMNS} FROM study",
     "pick_latest_rownum": f"WITH {study(GAMES)} SELECT {ALL_COLUMNS} FROM study",
+    "pick_latest_all": f"WITH {study()} SELECT {KEPT_COLUMNS} FROM study",
+    "pick_latest_rownum_all": f"WITH {study()} SELECT {KEPT_COLUMNS} FROM study",
     "pick_count": f"WITH {study(FORMAT)} SELECT count(*) AS n FROM study",
     "pick_segments": f"""WITH {study(GAMES)} SELECT {KEPT_COLUMNS}, {case_of(GAMES.rule, 2)} AS segment,
       {case_of(GAMES.rule, 3)} AS segment_label FROM study""",

@@ -106,6 +106,8 @@ PICK_QUERIES: dict[str, Query] = {
     "pick_latest_fantasy": _of_picks(lambda p: pr.study_picks(p, FANTASY)),
     "pick_latest_format": _of_picks(lambda p: pr.study_picks(p, FORMAT)),
     "pick_latest_rownum": _of_picks(lambda p: pk.latest_rows(pr.eligible_picks(p, GAMES))),
+    "pick_latest_all": _of_picks(pk.latest),
+    "pick_latest_rownum_all": _of_picks(lambda p: pk.latest_rows(p).select(*pk.PICK_COLUMNS)),
     "pick_count": _of_picks(lambda p: pk.count_rows(pr.study_picks(p, FORMAT))),
     "pick_segments": _of_picks(lambda p: _segment_columns(pr.study_picks(p, GAMES))),
     "stat_types": _of_picks(pk.stat_types),

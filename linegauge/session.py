@@ -17,6 +17,8 @@ def local_session(cpus: int | str = "*", app: str = "linegauge", memory: str = "
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # A session that runs many reports needs room for their compiled stages; the default keeps 100.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         # Call sites in error messages cost two JVM calls per column operation while a plan is built.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
