@@ -6,10 +6,10 @@ from collections import Counter
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import DATA
-
-QUERIES, ORACLES = queries(), oracle_sql()
+from linegauge.plans.oracle import ORACLES
+from linegauge.plans.registry import ALL as QUERIES
 
 
 def plain(value):
