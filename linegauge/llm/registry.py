@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from linegauge.llm.packing import op5_packing
 from linegauge.llm.token_files import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op5_packing": op5_packing,
 }
 ORACLES: dict[str, str] = {}
