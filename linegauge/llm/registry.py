@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from linegauge.llm.bpe import op2_bpe
 from linegauge.llm.packing import op5_packing
+from linegauge.llm.repetition import op7_quality_rules
 from linegauge.llm.token_files import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe": op2_bpe,
     "op5_packing": op5_packing,
+    "op7_quality_rules": op7_quality_rules,
 }
 ORACLES: dict[str, str] = {}
