@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from linegauge.llm.bpe import op2_bpe
+from linegauge.llm.chat import OP6_SQL, op6_chat
 from linegauge.llm.packing import op5_packing
 from linegauge.llm.repetition import op7_quality_rules
 from linegauge.llm.token_files import op1_token_files
@@ -11,6 +12,9 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe": op2_bpe,
     "op5_packing": op5_packing,
+    "op6_chat": op6_chat,
     "op7_quality_rules": op7_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat": OP6_SQL,
+}
