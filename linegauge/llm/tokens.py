@@ -1,8 +1,9 @@
-"""Token ids of whole texts by a published byte-level vocabulary.
+"""Token ids of whole texts by a published byte-level BPE vocabulary of the tokenizers library.
 
-Before every single space that a non-space follows, the vocabulary's own splitting pattern always begins a new word. Texts are cut
-there, and each distinct cut is encoded once per worker, which gives the ids of the whole text several times sooner. Texts in which a space
-stands inside a longer run of white space are encoded in one piece.
+Before every single space that a non-space follows, the vocabulary's splitting pattern always begins a new word. Texts are cut there, cuts are
+split into the pattern's words, and the library's BPE model encodes each distinct word once per worker. The ids are those of the
+library's whole encoder (tests compare them), several times sooner. Texts in which a space stands inside a longer run of white space are
+split as a whole; texts with a special token of the vocabulary go through the whole encoder.
 """
 
 from __future__ import annotations
@@ -11,14 +12,19 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from linegauge.llm.common import slices, texts_of
 
-#: Distinct cuts that a worker remembers, a bound of its memory only.
-REMEMBERED = 400_000
+#: Distinct cuts and words that a worker remembers, bounds of its memory only.
+CUTS_REMEMBERED = 800_000
+WORDS_REMEMBERED = 800_000
 _INSIDE_RUN = re.compile(r"\s (?:\s|\Z)")
+_RUN = re.compile(r"\s\s|\A\s|\s\Z")
+_WORDS = regex.compile(public_tokenizers.PATTERN)
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -28,30 +34,64 @@ def cuts(text: str) -> list[str]:
         return []
     if "\0" in text or _INSIDE_RUN.search(text):
         return [text]
-    pieces = text.replace(" ", "\0 ").split("\0")
+    marked = text.replace(" ", "\0 ")
+    if not _RUN.search(text):
+        # A line break between two non-spaces is a word of its own.
+        marked = marked.replace("\n", "\0\n\0")
+    pieces = marked.split("\0")
     return pieces if pieces[0] else pieces[1:]
 
 
+def words(cut: str) -> list[str]:
+    """The matches of the pattern in a cut; letters, alone or before a full stop or comma, need no pattern."""
+    if cut[1:].isalpha() and (cut[0] == " " or cut[0].isalpha()):
+        return [cut]
+    if cut[-1] in ".," and cut[1:-1].isalpha() and (cut[0] == " " or cut[0].isalpha()):
+        return [cut[:-1], cut[-1]]
+    return _WORDS.findall(cut)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies: itself where printable, else the next one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.known_cuts: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        if word not in self.known:
+            if len(self.known) >= WORDS_REMEMBERED:
+                self.known = {}
+            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            self.known[word] = b"".join([token.id.to_bytes(4, "little") for token in tokens])
+        return self.known[word]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        pieces = [cuts(text) for text in texts]
-        new = {piece for found in pieces for piece in found if piece not in self.known}
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = {piece for found in pieces for piece in found}
-        listed = list(new)
-        for at in range(0, len(listed), 4096):
-            part = listed[at : at + 4096]
-            for piece, made in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[piece] = np.array(made.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, found)) for found in pieces]
+        known, made = self.known_cuts, []
+        for text in texts:
+            if any(token in text for token in self.special):
+                made.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            found = cuts(text)
+            for cut in found:
+                if cut not in known:
+                    known[cut] = b"".join([self.word(w) for w in words(cut)])
+            made.append(b"".join(map(known.__getitem__, found)))
+            if len(known) >= CUTS_REMEMBERED:
+                known.clear()
+        return made
 
 
 def encoder(path: str) -> Encoder:
