@@ -7,6 +7,7 @@ from linegauge.llm.chat import OP6_SQL, op6_chat
 from linegauge.llm.packing import op5_packing
 from linegauge.llm.repetition import op7_quality_rules
 from linegauge.llm.token_files import op1_token_files
+from linegauge.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_token_files": op1_token_files,
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_chat": op6_chat,
     "op7_quality_rules": op7_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op6_chat": OP6_SQL,
