@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from linegauge.llm.bpe import op2_bpe
 from linegauge.llm.chat import OP6_SQL, op6_chat
+from linegauge.llm.nearest import op8_nearest
 from linegauge.llm.packing import op5_packing
 from linegauge.llm.repetition import op7_quality_rules
 from linegauge.llm.token_files import op1_token_files
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_chat": op6_chat,
     "op7_quality_rules": op7_quality_rules,
+    "op8_nearest": op8_nearest,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
