@@ -7,6 +7,7 @@ from linegauge.llm.chat import OP6_SQL, op6_chat
 from linegauge.llm.nearest import op8_nearest
 from linegauge.llm.packing import op5_packing
 from linegauge.llm.repetition import op7_quality_rules
+from linegauge.llm.suffix_dedup import op9_suffix_dedup
 from linegauge.llm.token_files import op1_token_files
 from linegauge.llm.toxicity import op10_toxicity
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_chat": op6_chat,
     "op7_quality_rules": op7_quality_rules,
     "op8_nearest": op8_nearest,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
