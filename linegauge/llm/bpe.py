@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import pickle
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -23,21 +24,27 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import documents, slices, stored, texts_of
-from linegauge.llm.tokens import cuts
+from linegauge.llm.common import documents, slices, texts_of
+from linegauge.llm.tokens import cuts, words
 
 BLOCK_BYTES = 8 << 20
 #: Bytes of text for which one bucket of words is planned.
 BUCKET_BYTES = 2 << 20
-#: doc rows: block, doc_id, row, n (words), data (positions). word rows: block, bucket, n (words), slots, data (words, or their ids).
-BLOCKS = "block long, bucket int, doc_id long, row long, n long, slots binary, data binary"
-_FIELDS = [("block", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("slots", pa.binary()), ("data", pa.binary())]
+#: ``n`` words, their numbers in the block, and the words or (from step 2) their ids. Rows without a bucket hold the documents of a block.
+BLOCKS = "block long, bucket int, n long, slots binary, data binary, listed long"
+_FIELDS = [
+    ("block", pa.int64()),
+    ("bucket", pa.int32()),
+    ("n", pa.int64()),
+    ("slots", pa.binary()),
+    ("data", pa.binary()),
+    ("listed", pa.int64()),
+]
 _RANKS: dict[str, dict[bytes, int]] = {}
 
 
@@ -88,91 +95,133 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _FIELDS)], [n for n, _ in _FIELDS])
 
 
-def word_blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
-    """Step 1."""
+def _in_blocks(docs: DataFrame, rows_of) -> DataFrame:
+    """Rows that ``rows_of(block number, rows)`` makes of each block of the documents.
+
+    Words of a block are numbered as they first appear. A word that is new in the block has 0 in the sequence, another has its number plus one, so
+    sequences compress well. Block numbers come from the scan, whose partitions are the same each time the same files are read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = regex.compile(pattern).findall
         task = TaskContext.get().partitionId()
         for k, part in enumerate(slices(batches, limit=BLOCK_BYTES)):
-            block = (task << 32) + k
-            slot_of: dict[str, int] = {}
-            known: dict[str, bytes] = {}
-            rows = []
-            for row, (doc_id, text) in enumerate(zip(part.column("doc_id").to_pylist(), texts_of(part))):
-                found = cuts(text)
-                for cut in found:
-                    if cut not in known:
-                        known[cut] = np.array([slot_of.setdefault(w, len(slot_of)) for w in words_of(cut)], "<u4").tobytes()
-                data = b"".join(map(known.__getitem__, found))
-                rows.append((block, None, doc_id, row, len(data) // 4, None, _planes(np.frombuffer(data, "<u4"))))
-            yield _rows(rows)
-            by_bucket = defaultdict(list)
-            for word, slot in slot_of.items():
-                by_bucket[zlib.crc32(word.encode()) % buckets].append((slot, word))
-            rows = []
-            for bucket, pairs in by_bucket.items():
-                slots = np.array([s for s, _ in pairs], "<u4")
-                words = "\0\0".join(w.replace("\0", "\0\1") for _, w in pairs).encode()
-                rows.append((block, bucket, None, None, len(pairs), _planes(slots), zstandard.compress(words, 3)))
-            if rows:
-                yield _rows(rows)
+            yield from rows_of((task << 32) + k, part)
 
     return docs.select("doc_id", "text").mapInArrow(run, BLOCKS)
 
 
-def encode_words(words: DataFrame, ranks_path: str) -> DataFrame:
+def _block_words(texts: list[str], sequences: bool) -> tuple[dict[str, int], list[bytes]]:
+    """Numbers of the distinct words of a block, and each text's words as their numbers."""
+    slot_of: dict[str, int] = {}
+    known: dict[str, bytes] = {}
+    made = []
+    for text in texts:
+        found = cuts(text)
+        for cut in found:
+            if cut not in known:
+                slots = [slot_of.setdefault(w, len(slot_of)) for w in words(cut)]
+                known[cut] = np.array(slots, "<u4").tobytes() if sequences else b""
+        if sequences:
+            made.append(b"".join(map(known.__getitem__, found)))
+    return slot_of, made
+
+
+def _listed(slot_of: dict[str, int]) -> int:
+    """Tells whether two lists of words are the same."""
+    return zlib.crc32("\0".join(slot_of).encode())
+
+
+def word_rows(docs: DataFrame, buckets: int) -> DataFrame:
+    """Distinct words of each block, packed by bucket."""
+
+    def rows_of(block: int, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        slot_of, _ = _block_words(texts_of(part), sequences=False)
+        listed, by_bucket = _listed(slot_of), defaultdict(list)
+        for word, slot in slot_of.items():
+            by_bucket[zlib.crc32(word.encode()) % buckets].append((slot, word))
+        rows = []
+        for bucket, pairs in by_bucket.items():
+            slots = np.array([s for s, _ in pairs], "<u4")
+            packed = "\0\0".join(w.replace("\0", "\0\1") for _, w in pairs).encode()
+            rows.append((block, bucket, len(pairs), _planes(slots), zstandard.compress(packed, 3), listed))
+        if rows:
+            yield _rows(rows)
+
+    return _in_blocks(docs, rows_of)
+
+
+def doc_rows(docs: DataFrame) -> DataFrame:
+    """A row for each block: its doc_ids and numbers of words in ``slots``, the words' numbers in ``data``."""
+
+    def rows_of(block: int, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        slot_of, made = _block_words(texts_of(part), sequences=True)
+        sequence = np.frombuffer(b"".join(made), "<u4").astype(np.int64)
+        new = np.diff(np.maximum.accumulate(sequence), prepend=-1) > 0
+        about = pickle.dumps((part.column("doc_id").to_pylist(), [len(x) // 4 for x in made]))
+        yield _rows([(block, None, len(sequence), about, _planes(np.where(new, 0, sequence + 1)), _listed(slot_of))])
+
+    return _in_blocks(docs, rows_of)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    """The words' numbers of a ``doc_rows`` row."""
+    values = _unplanes(data).astype(np.int64)
+    return np.where(values == 0, np.cumsum(values == 0) - 1, values - 1)
+
+
+def encode_words(rows: DataFrame, ranks_path: str) -> DataFrame:
     """Step 2: within each bucket the distinct words are encoded once; each (block, bucket) row gets its words' ids and their numbers."""
 
     def run(table: pa.Table) -> pa.Table:
         rank_of, known, out = ranks(ranks_path), {}, []
-        for r in table.select(["block", "bucket", "n", "slots", "data"]).to_pylist():
-            words = [w.replace("\0\1", "\0") for w in zstandard.decompress(r["data"]).decode().split("\0\0")]
-            for w in words:
+        for r in table.to_pylist():
+            found = [w.replace("\0\1", "\0") for w in zstandard.decompress(r["data"]).decode().split("\0\0")]
+            for w in found:
                 if w not in known:
                     known[w] = word_ids(w.encode(), rank_of)
-            ids = [known[w] for w in words]
+            ids = [known[w] for w in found]
             flat = np.array([len(x) for x in ids] + [i for x in ids for i in x], "<u4")
-            out.append((r["block"], r["bucket"], None, None, r["n"], r["slots"], _planes(flat)))
+            out.append((r["block"], r["bucket"], r["n"], r["slots"], _planes(flat), r["listed"]))
         return pa.Table.from_batches([_rows(out)])
 
-    return words.groupBy("bucket").applyInArrow(run, BLOCKS)
+    return rows.groupBy("bucket").applyInArrow(run, BLOCKS)
 
 
-def assemble(rows: DataFrame) -> DataFrame:
+def assemble(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Step 3: ``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit)."""
 
-    def run(table: pa.Table) -> pa.Table:
-        found = table.select(["doc_id", "n", "bucket", "slots", "data", "row"]).to_pylist()
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        blocks, found = left.to_pylist(), right.to_pylist()
+        if len({r["listed"] for r in blocks + found if r["n"]}) > 1:
+            raise ValueError("the documents were read in different partitions by the two scans")
         slots, lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
         for r in found:
-            if r["bucket"] is not None:
-                flat = _unplanes(r["data"])
-                slots.append(_unplanes(r["slots"]).astype(np.int64))
-                lengths.append(flat[: r["n"]].astype(np.int64))
-                ids.append(flat[r["n"] :])
+            flat = _unplanes(r["data"])
+            slots.append(_unplanes(r["slots"]).astype(np.int64))
+            lengths.append(flat[: r["n"]].astype(np.int64))
+            ids.append(flat[r["n"] :])
         slot, length, flat = map(np.concatenate, (slots, lengths, ids))
         start_of, length_of = np.zeros(len(slot), np.int64), np.zeros(len(slot), np.int64)
         start_of[slot], length_of[slot] = np.cumsum(length) - length, length
-        docs = sorted((r for r in found if r["bucket"] is None), key=lambda r: r["row"])
-        made = []
-        for r in docs:
-            at = _unplanes(r["data"]) if r["n"] else np.zeros(0, np.int64)
-            each = length_of[at]
-            shift = start_of[at] - (np.cumsum(each) - each)
-            made.append(flat[np.repeat(shift, each) + np.arange(each.sum())])
-        columns = [pa.array([r["doc_id"] for r in docs], pa.int64()), pa.array([len(x) for x in made], pa.int64())]
+        doc_ids, made = [], []
+        for r in blocks:
+            ids_of_docs, counts = pickle.loads(r["slots"])
+            for doc_id, at in zip(ids_of_docs, np.split(_numbers(r["data"]), np.cumsum(counts)[:-1])):
+                each = length_of[at]
+                shift = start_of[at] - (np.cumsum(each) - each)
+                doc_ids.append(doc_id)
+                made.append(flat[np.repeat(shift, each) + np.arange(each.sum())])
+        columns = [pa.array(doc_ids, pa.int64()), pa.array([len(x) for x in made], pa.int64())]
         return pa.table([*columns, pa.array([x.tobytes() for x in made], pa.binary())], ["doc_id", "n_tokens", "ids"])
 
-    return rows.groupBy("block").applyInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of all documents."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
-    blocks = stored(word_blocks(docs, pattern, buckets=max(64, size // BUCKET_BYTES)), "word-blocks")
-    words = encode_words(blocks.where("bucket IS NOT NULL"), ranks_path)
-    return assemble(blocks.where("bucket IS NULL").unionByName(words))
+    words_with_ids = encode_words(word_rows(docs, buckets=max(64, size // BUCKET_BYTES)), ranks_path)
+    return assemble(doc_rows(docs), words_with_ids)
 
 
 def decode(rows: DataFrame, ranks_path: str) -> DataFrame:
@@ -190,6 +239,6 @@ def decode(rows: DataFrame, ranks_path: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = decode(encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
+    both = decode(encode(documents(spark, sf_dir), path), path)
     digests = [F.sha2(c, 256).alias(f"{a}_sha256") for c, a in (("ids", "ids"), ("decoded", "decoded"))]
     return both.select("doc_id", "n_tokens", *digests)
