@@ -221,16 +221,16 @@ def cut_texts(docs: DataFrame, spans: DataFrame, span: int = SPAN) -> DataFrame:
 def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """``docs`` with the repeated strings cut out of ``text``, other columns unchanged. Bytes of a character that was cut in two are dropped."""
     spans = repeated_spans(marked(docs), span)
-    kept = [f for f in docs.schema.fields if f.name != "text"]
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             texts = part.column("text").to_pylist()
             made = [t and _cut(t.encode(), e, span)[0].decode(errors="ignore") for t, e in zip(texts, part.column("entries").to_pylist())]
-            columns = [pa.array(made, pa.string()) if f == "text" else part.column(f) for f in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            columns = [pa.array(made, pa.string()) if f == "text" else part.column(f) for f in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("mark"))
+    rows = docs.select(F.struct(*names).alias("row"), "doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("mark"))
     flat = attached(rows, spans, "left").select("row.*", "entries")
     return flat.mapInArrow(run, docs.schema)
 
