@@ -5,6 +5,7 @@ from __future__ import annotations
 from linegauge.llm.bpe import op2_bpe
 from linegauge.llm.chat import OP6_SQL, op6_chat
 from linegauge.llm.jaccard import op4_jaccard_join
+from linegauge.llm.licenses import OP3_SQL, op3_license_scan
 from linegauge.llm.nearest import op8_nearest
 from linegauge.llm.packing import op5_packing
 from linegauge.llm.repetition import op7_quality_rules
@@ -15,6 +16,7 @@ from linegauge.llm.toxicity import op10_toxicity
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe": op2_bpe,
+    "op3_license_scan": op3_license_scan,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
     "op6_chat": op6_chat,
@@ -24,5 +26,6 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
+    "op3_license_scan": OP3_SQL,
     "op6_chat": OP6_SQL,
 }
