@@ -227,12 +227,12 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
         for part in slices(batches):
             texts = part.column("text").to_pylist()
             made = [t and _cut(t.encode(), e, span)[0].decode(errors="ignore") for t, e in zip(texts, part.column("entries").to_pylist())]
-            columns = [pa.array(made, pa.string()) if f == "text" else part.column(f) for f in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            fields = dict(zip(names, part.column("row").flatten()))
+            yield pa.RecordBatch.from_arrays([*(fields | {"text": pa.array(made, pa.string())}).values()], names)
 
+    # As a struct, the document's columns cannot clash with others.
     rows = docs.select(F.struct(*names).alias("row"), "doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("mark"))
-    flat = attached(rows, spans, "left").select("row.*", "entries")
-    return flat.mapInArrow(run, docs.schema)
+    return attached(rows, spans, "left").select("row", "entries", "row.text").mapInArrow(run, docs.schema)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

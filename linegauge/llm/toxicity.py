@@ -196,7 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with their columns."""
-    return model.scored(docs, docs.columns).where(F.col("tox_score") < threshold).select(*docs.columns)
+    # As a struct, the document's columns cannot clash with those of the model.
+    rows = model.scored(docs.select(F.struct(*docs.columns).alias("tox_doc"), "text"), ["tox_doc"])
+    return rows.where(F.col("tox_score") < threshold).select("tox_doc.*")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
