@@ -9,8 +9,3 @@ from pyspark.sql import functions as F
 def json_text(value: Column) -> Column:
     """JSON text of a VARIANT; absent and JSON null both become NULL, an empty list stays ``[]``."""
     return F.when(~F.is_variant_null(value), F.to_json(value))
-
-
-def first_element(array: Column) -> Column:
-    """First array element, NULL for a missing or empty array (safe under ANSI mode)."""
-    return F.get(array, F.lit(0))

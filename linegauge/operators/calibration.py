@@ -54,7 +54,8 @@ def _overridden(override: SigmaOverride, key: str) -> str:
         return "sigma"
     if not isinstance(override, Mapping):
         return num(override)
-    whens = " ".join(f"WHEN {key} = '{name}' THEN {num(value)}" for name, value in override.items() if value)
+    literal = lambda name: "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    whens = " ".join(f"WHEN {key} = {literal(name)} THEN {num(value)}" for name, value in override.items() if value)
     return f"CASE {whens} ELSE sigma END" if whens else "sigma"
 
 
@@ -63,16 +64,12 @@ def percentiles(
     groups: Sequence[str],
     min_rows: int = MIN_SEGMENT_ROWS,
     sigma_override: SigmaOverride = None,
-    few_groups: bool = True,
 ) -> DataFrame:
-    """Percentile of every (line, score) pair under its group's normal; groups below ``min_rows`` drop out.
-
-    ``few_groups`` states that the group columns come from a rule or a quantile count, so the sigma table has a handful
-    of rows and is broadcast. Set it to False for arbitrary group columns and Spark picks the join by size.
-    """
-    sigma = segment_sigma(freq, groups).filter(F.col("n_scored") >= min_rows)
+    """Percentile of every (line, score) pair under its group's normal. Groups below ``min_rows`` rows, scored or not, have none; ``small_groups``
+    lists them."""
+    sigma = segment_sigma(freq, groups).filter(F.col("n_scored") + F.col("n_unscored") >= min_rows)
     sigma = sigma.withColumn("sigma", F.expr(_overridden(sigma_override, groups[0])))
-    joined = scored_rows(freq).join(F.broadcast(sigma) if few_groups else sigma, list(groups))
+    joined = scored_rows(freq).join(sigma, list(groups))
     return with_line_percentile(joined)
 
 
@@ -127,11 +124,15 @@ def calibration_metrics(percentile_rows: DataFrame, groups: Sequence[str]) -> Da
     )
 
 
-def evaluate_segmentation(
-    freq: DataFrame, groups: Sequence[str], min_rows: int = MIN_SEGMENT_ROWS, few_groups: bool = True
-) -> DataFrame:
+def small_groups(freq: DataFrame, groups: Sequence[str], min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
+    """Groups with too few rows to be calibrated, and their rows."""
+    counted = segment_sigma(freq, groups).filter(F.col("n_scored") + F.col("n_unscored") < min_rows)
+    return counted.select(*groups, F.col("n_scored").alias("n"), "n_unscored")
+
+
+def evaluate_segmentation(freq: DataFrame, groups: Sequence[str], min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
     """Rows, deviation and calibration error per segment of one or several segmentations."""
-    rows = percentiles(freq, groups, min_rows=min_rows, few_groups=few_groups)
+    rows = percentiles(freq, groups, min_rows=min_rows)
     return (
         rows.groupBy(*groups)
         .agg(*exprs("sum(n) AS n", "max(sigma) AS std"), *_bin_shares())

@@ -150,22 +150,19 @@ def histogram(
     value: str,
     bins: int,
     min_rows: int = 1,
-    few_groups: bool = True,
 ) -> DataFrame:
     """Equal-width histogram of an expression per group over the group's own range, empty bins included.
 
-    Output: groups, bin, bin_low, bin_high, count, density, and the group's mean_line, mean_value, std_value.
+    Rows without a value are in no bin. Output: groups, bin, bin_low, bin_high, count, density, and the group's mean_line, mean_value, std_value.
     """
-
-    def sized(df: DataFrame) -> DataFrame:
-        # A group set from a rule has a handful of rows (times bins); otherwise Spark chooses the join by size.
-        return F.broadcast(df) if few_groups else df
-
     shape = _group_shape(freq, groups, value, min_rows)
     guess = F.expr(f"least(CAST(floor((__value - lo) / (hi - lo) * {num(bins)}) AS INT), {bins - 1})")
     filled = (
         freq.withColumn("__value", F.expr(value))
-        .join(sized(shape), list(groups))
+        # On the weight, as in ``scored_rows``.
+        .withColumn("n", F.expr("n * CAST(__value IS NOT NULL AS BIGINT)"))
+        .filter("n > 0")
+        .join(shape, list(groups))
         .withColumn("__guess", guess)
         .withColumn("bin", F.expr(_settled_bin(bins)))
         .groupBy(*groups, "bin")
@@ -173,7 +170,7 @@ def histogram(
     )
     slots = shape.withColumn("bin", F.expr(f"explode(sequence(0, {bins - 1}))"))
     edged = slots.withColumns({"bin_low": F.expr(_edge("bin", bins)), "bin_high": F.expr(_edge("bin + 1", bins))})
-    return edged.join(sized(filled), [*groups, "bin"], "left").selectExpr(
+    return edged.join(filled, [*groups, "bin"], "left").selectExpr(
         *groups,
         "bin",
         "bin_low",
@@ -213,7 +210,7 @@ def spread_bands(freq: DataFrame, groups: Sequence[str], score_cap: float | None
     shape = _group_shape(freq, groups, score, min_rows).selectExpr(*groups, "std_value AS sigma")
     banded = (
         scored_rows(freq)
-        .join(F.broadcast(shape), list(groups))
+        .join(shape, list(groups))
         .withColumn("__gap", F.expr(f"abs(({score}) - line)"))
     )
     per_line = banded.groupBy(*groups, "line", "sigma").agg(
@@ -234,10 +231,12 @@ def spread_bands(freq: DataFrame, groups: Sequence[str], score_cap: float | None
     )
 
 
-def line_score_pairs(freq: DataFrame, groups: Sequence[str], score_cap: float | None) -> DataFrame:
-    """Multiplicity of each (line, capped score) pair per segment."""
+def line_score_pairs(freq: DataFrame, groups: Sequence[str], score_cap: float | None, min_rows: int = 10) -> DataFrame:
+    """Multiplicity of each (line, capped score) pair per segment of at least ``min_rows`` rows."""
+    large = freq.groupBy(*groups).agg(F.sum("n").alias("__rows")).filter(f"__rows >= {min_rows}").drop("__rows")
     return (
-        freq.filter("line IS NOT NULL AND score IS NOT NULL")
+        scored_rows(freq)
+        .join(large, list(groups), "left_semi")
         .groupBy(*groups, "line", F.expr(f"{cap('score', score_cap)} AS score"))
         .agg(F.sum("n").alias("n"))
     )

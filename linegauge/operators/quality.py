@@ -26,17 +26,14 @@ def repeated_ids(rows: DataFrame) -> DataFrame:
 def reference_checks(competitions: DataFrame, seasons: DataFrame) -> DataFrame:
     """One row per check with the number of violations: missing ids, repeated ids, seasons of unknown competitions."""
 
-    def counted(check: str, violations: DataFrame) -> DataFrame:
-        return violations.agg(F.lit(check).alias("check"), F.count(F.lit(1)).alias("n"))
-
-    checks = [
-        counted("competition_id_missing", competitions.filter(F.col("id").isNull())),
-        counted("competition_id_repeated", repeated_ids(competitions)),
-        counted("season_id_missing", seasons.filter(F.col("id").isNull())),
-        counted("season_id_repeated", repeated_ids(seasons)),
-        counted("season_orphan", orphan_seasons(seasons, competitions)),
-    ]
-    found = checks[0]
-    for check in checks[1:]:
-        found = found.unionByName(check)
-    return found
+    def of_ids(feed: str, rows: DataFrame) -> DataFrame:
+        """Both id checks from one pass; counts per id combine in the map tasks."""
+        totals = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).selectExpr(
+            "coalesce(sum(CASE WHEN id IS NULL THEN n END), 0L) AS missing",
+            "count_if(id IS NOT NULL AND n > 1) AS repeated",
+        )
+        entries = ", ".join(f"struct('{feed}_id_{c}' AS check, {c} AS n)" for c in ("missing", "repeated"))
+        return totals.selectExpr(f"inline(array({entries}))")
+
+    orphans = orphan_seasons(seasons, competitions).agg(F.lit("season_orphan").alias("check"), F.count(F.lit(1)).alias("n"))
+    return of_ids("competition", competitions).unionByName(of_ids("season", seasons)).unionByName(orphans)

@@ -79,6 +79,6 @@ def seasons_with_tournament(seasons: DataFrame) -> DataFrame:
 
 
 def orphan_seasons(seasons: DataFrame, competitions: DataFrame) -> DataFrame:
-    """Seasons whose competition is unknown."""
+    """Seasons whose competition is unknown. A season without a competition breaks no reference."""
     keys = competitions.select(F.col("id").alias("competition_id"))
-    return seasons.join(keys, "competition_id", "left_anti")
+    return seasons.filter("competition_id IS NOT NULL").join(keys, "competition_id", "left_anti")

@@ -16,9 +16,9 @@ def odds_scope(
     sportsbooks: Sequence[str] = tuple(fixed.SPORTSBOOKS),
     markets: Sequence[str] = tuple(fixed.MARKETS),
 ) -> DataFrame:
-    """Main lines of the listed markets at no more than the first five listed sportsbooks."""
+    """Main lines of the listed markets at the listed sportsbooks."""
     wanted = (
-        F.col("sportsbook").isin(*list(sportsbooks)[: fixed.MAX_SPORTSBOOKS])
+        F.col("sportsbook").isin(*sportsbooks)
         & F.col("market").isin(*markets)
         & F.col("is_main")
     )

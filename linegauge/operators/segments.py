@@ -110,7 +110,9 @@ def with_bucket(freq: DataFrame, q: int, prefix: str, duplicates: str = "raise")
 def bucket_summary(bucketed: DataFrame) -> DataFrame:
     """Rows and line ends per bucket."""
     return (
-        bucketed.filter(F.col("bucket").isNotNull())
+        # On the weight: a test on the bucket is one on the line, and would move below the frequency aggregation.
+        bucketed.withColumn("n", F.expr("n * CAST(bucket IS NOT NULL AS BIGINT)"))
+        .filter("n > 0")
         .groupBy("bucket", "bucket_no")
         .agg(
             F.sum("n").alias("n"),

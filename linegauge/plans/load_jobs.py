@@ -15,7 +15,7 @@ from linegauge.sources import landed, tables
 
 
 def load_odds(
-    spark: SparkSession, path: landed.Paths, table: str, rows_per_file: int = tables.ODDS_BATCH, documents: bool = True
+    spark: SparkSession, path: landed.Paths, table: str, rows_per_file: int | None = None, documents: bool = True
 ) -> int:
     """Flatten landed odds and append them; returns the number of rows. The table must exist."""
     return tables.append_rows(flat.flat_odds(landed.odds(spark, path, documents)), table, rows_per_file)
@@ -25,7 +25,7 @@ def load_fixtures(
     spark: SparkSession,
     path: landed.Paths,
     table: str,
-    rows_per_file: int = tables.FIXTURE_BATCH,
+    rows_per_file: int | None = None,
     documents: bool = True,
 ) -> int:
     return tables.append_rows(flat.flat_fixtures(landed.fixtures(spark, path, documents)), table, rows_per_file)
@@ -34,19 +34,20 @@ def load_fixtures(
 def event_fixtures(
     pages: DataFrame,
     request: Sequence[str] = (),
-    max_pages: int = fixed.MAX_PAGES,
+    max_pages: int | None = None,
+    as_fetched: bool = False,
     rounds: Sequence[str] = tuple(fixed.ROUNDS),
     **scope,
 ) -> DataFrame:
-    """Flat fixtures of all pages in reach that belong to the event's rounds; rounds are one pass, not one each."""
-    records = landed.data_rows(landed.pages_in_reach(pages, request, max_pages))
+    """Flat fixtures of all pages (or those in reach) that belong to the event's rounds; rounds are one pass, not one each."""
+    records = landed.data_rows(landed.pages_in_reach(pages, request, max_pages, as_fetched))
     return scopes.fixture_rounds(flat.flat_fixtures(records), rounds, **scope)
 
 
-def event_odds(payloads: DataFrame, fixtures: DataFrame) -> DataFrame:
+def event_odds(payloads: DataFrame, fixtures: DataFrame, first_only: bool = False) -> DataFrame:
     """Flat odds of the payloads whose fixture is among the given ones."""
     known = fixtures.select(F.col("id").alias("fixture_id"))
-    return flat.flat_odds(landed.odds_of_payloads(payloads.join(known, "fixture_id", "left_semi")))
+    return flat.flat_odds(landed.odds_of_payloads(payloads.join(known, "fixture_id", "left_semi"), first_only))
 
 
 def main_reference(competitions: DataFrame, seasons: DataFrame, top_only: bool = False) -> tuple[DataFrame, DataFrame]:

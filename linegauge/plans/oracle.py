@@ -29,7 +29,8 @@ PICKS = """picks AS (
          CASE l_linenumber % 3 WHEN 0 THEN 63 WHEN 1 THEN 14 ELSE 5 END AS stat_type_id,
          CASE l_linenumber % 3 WHEN 0 THEN 'Games Won' WHEN 1 THEN 'Fantasy Score' ELSE 'Aces' END AS stat_type_name,
          p_size * 0.5e0 AS pred_line_score,
-         p_size * 0.5e0 + (l_quantity - 25e0) * 0.25e0 AS score,
+         CASE WHEN l_orderkey % 97 = 5 THEN NULL WHEN l_orderkey % 101 = 7 THEN 30e0 + l_quantity
+           ELSE p_size * 0.5e0 + (l_quantity - 25e0) * 0.25e0 END AS score,
          l_quantity > 25e0 AS outcome_was_over, l_quantity < 25e0 AS outcome_was_under,
          l_shipdate AS created_at_est,
          l_discount > 0.095e0 AS demon_pick, l_discount < 0.005e0 AS goblin_pick, l_tax > 0.075e0 AS is_off_the_board,
@@ -103,7 +104,8 @@ def phi(rows: str) -> str:
 
 
 def calibrated(profile, sigma: str = "stddev_samp(score)") -> str:
-    rows = "SELECT seg.*, sigma, (score - line) / sigma AS z FROM seg JOIN sig USING (segment)"
+    rows = """SELECT seg.*, sigma, (score - line) / sigma AS z FROM seg JOIN sig USING (segment)
+      WHERE score IS NOT NULL AND line IS NOT NULL"""
     return f"""{segmented(profile)},
 sig AS (SELECT segment, {sigma} AS sigma FROM seg GROUP BY segment HAVING count(*) >= 10),
 pct AS ({phi(rows)})"""
@@ -125,12 +127,16 @@ def metrics(profile, sigma: str = "stddev_samp(score)") -> str:
 err AS (SELECT segment, avg(abs(share - 0.1e0)) AS mace FROM shares GROUP BY segment),
 m AS (SELECT segment, segment_order, count(*) AS n, max(sigma) AS sigma, {inside(0.25, 0.75)} AS c50,
         {inside(0.10, 0.90)} AS c80, {inside(0.025, 0.975)} AS c95, median(percentile) AS med
-      FROM pct GROUP BY segment, segment_order)
-SELECT segment, segment_order, n, CAST(0 AS BIGINT) AS n_unscored, {r('sigma', 'sigma')}, {r('c50', 'coverage_50')},
+      FROM pct GROUP BY segment, segment_order),
+rest AS (SELECT segment, segment_order, count(*) AS n_rows, count(*) FILTER (score IS NULL OR line IS NULL) AS n_unscored FROM seg GROUP BY ALL)
+SELECT segment, segment_order, n, n_unscored, {r('sigma', 'sigma')}, {r('c50', 'coverage_50')},
   {r('c80', 'coverage_80')}, {r('c95', 'coverage_95')}, {r('mace', 'mace')}, {r('med', 'median_percentile')},
   CASE WHEN med > 0.55e0 THEN 'over-predicting' WHEN med < 0.45e0 THEN 'under-predicting' ELSE 'balanced' END AS interpretation,
-  CASE WHEN med > 0.55e0 THEN 'line_too_low' WHEN med < 0.45e0 THEN 'line_too_high' ELSE 'balanced' END AS bias_direction
-FROM m JOIN err USING (segment)"""
+  CASE WHEN med > 0.55e0 THEN 'line_too_low' WHEN med < 0.45e0 THEN 'line_too_high' ELSE 'balanced' END AS bias_direction,
+  true AS enough
+FROM m JOIN err USING (segment) JOIN rest USING (segment, segment_order)
+UNION ALL SELECT segment, segment_order, n_rows - n_unscored, n_unscored, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, false
+FROM rest WHERE n_rows < 10"""
 
 
 def bin_table(profile) -> str:
@@ -180,7 +186,7 @@ FROM numbered JOIN ends a ON a.k = slot JOIN ends b ON b.k = slot + 1 GROUP BY n
 
 
 def evaluated() -> str:
-    rows = "SELECT st.*, std, std AS sigma, (score - line) / std AS z FROM st JOIN sig USING (strategy, segment)"
+    rows = "SELECT st.*, std, std AS sigma, (score - line) / std AS z FROM st JOIN sig USING (strategy, segment) WHERE score IS NOT NULL"
     return f"""{segmented(FORMAT)}, {edges(4)}, {edges(10)},
 lines AS (SELECT DISTINCT line FROM seg),
 slots AS (SELECT line, {slot(4)} AS s4, {slot(10)} AS s10 FROM lines),
@@ -238,7 +244,7 @@ def capped(limit) -> str:
 
 def histogram_ctes(rows: str, key: str, carried: str, bins_: int) -> str:
     return f"""vals AS ({rows}),
-shape AS (SELECT {key} AS k, {carried} count(*) AS total, avg(v) AS mean_value, stddev_samp(v) AS std_value,
+shape AS (SELECT {key} AS k, {carried} count(v) AS total, avg(v) AS mean_value, stddev_samp(v) AS std_value,
     avg(line) AS mean_line, CASE WHEN min(v) = max(v) THEN min(v) - 0.5e0 ELSE min(v) END AS lo,
     CASE WHEN min(v) = max(v) THEN max(v) + 0.5e0 ELSE max(v) END AS hi FROM vals GROUP BY {key}),
 slots AS (SELECT *, CAST(unnest(range({bins_})) AS INTEGER) AS bin FROM shape),
@@ -278,7 +284,7 @@ SELECT segment, segment_order, line, count(*) AS n, {r('line - sigma', 'low1')},
   {r('line - 2 * sigma', 'low2')}, {r('line + 2 * sigma', 'high2')},
   {r('avg(CASE WHEN abs(v - line) <= sigma THEN 1e0 ELSE 0e0 END)', 'inside1')},
   {r('avg(CASE WHEN abs(v - line) <= 2 * sigma THEN 1e0 ELSE 0e0 END)', 'inside2')}
-FROM c JOIN sig USING (segment) GROUP BY segment, segment_order, line, sigma"""
+FROM c JOIN sig USING (segment) WHERE v IS NOT NULL GROUP BY segment, segment_order, line, sigma"""
 
 
 def player_lines() -> str:
@@ -345,7 +351,7 @@ def competitions(source: str = "customer", id_rule: str = "'sr:competition:' ||
       WHEN 2 THEN 'atp_250' ELSE 'wta_1000' END END AS level,
     CASE WHEN c_nationkey % 6 = 0 THEN 'sr:competition:' || c_nationkey END AS parent_id,
     '2026-01-11 00:00:00' AS generated_at
-  FROM {source} WHERE c_custkey % 10 <> 0)"""
+  FROM {source})"""
 
 
 COMPETITIONS = competitions()
@@ -356,7 +362,8 @@ SNAPSHOTS = competitions(
 SEASONS = """seasons AS (
   SELECT 'sr:season:' || o_orderkey AS id, 'Season ' || o_orderkey AS name,
     CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS start_date, CAST(CAST(o_orderdate AS DATE) + 14 AS VARCHAR) AS end_date,
-    CAST(year(o_orderdate) AS VARCHAR) AS year, 'sr:competition:' || (o_custkey + 2000) AS competition_id,
+    CAST(year(o_orderdate) AS VARCHAR) AS year, CASE WHEN o_orderkey % 10 = 3 THEN 'sr:competition:x' || o_custkey
+      WHEN o_orderkey % 17 <> 5 THEN 'sr:competition:' || (o_custkey + 2000) END AS competition_id,
     '2026-01-11 00:00:00' AS generated_at FROM orders)"""
 MARKETS = """markets AS (
   SELECT CASE WHEN p_size % 3 = 0 THEN '1st_set_' WHEN p_size % 5 = 0 THEN '2nd_set_' ELSE '' END
@@ -376,10 +383,10 @@ ODDS_FLAT = f"WITH {ODDS} SELECT * FROM odds"
 FIXTURES_FLAT = f"WITH {FIXTURES} SELECT * FROM fixtures"
 COMPETITIONS_FLAT = f"WITH {COMPETITIONS} SELECT * FROM comps"
 SEASONS_FLAT = f"WITH {SEASONS} SELECT * FROM seasons"
-TWICE = "(SELECT 1 UNION ALL SELECT 2)"
+TWICE, THRICE = "(SELECT 1 UNION ALL SELECT 2)", "(SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3)"
 PAGE_REACH = """numerical_id % 12 + 1 <= 10
   AND numerical_id % 12 + 1 <= CASE (numerical_id // 12) % 3 WHEN 1 THEN 9 WHEN 2 THEN 12 ELSE 1 END"""
-EVENT = f"""{PAGE_REACH} AND sport_id = 'tennis' AND season_type = 'Australian Open' AND season_week IN ({names(fixed.ROUNDS)})"""
+EVENT = f"""sport_id = 'tennis' AND season_type = 'Australian Open' AND season_week IN ({names(fixed.ROUNDS)})"""
 TOP_TIER = f"""category_id IN ({INCLUDED})
   AND (category_id IN ({names(fixed.TEAM_CUP_CATEGORIES)}) OR level IN ({names(fixed.TOP_LEVELS)}))"""
 
@@ -435,7 +442,7 @@ ORACLES: dict[str, str] = {
     "line_range": f"""WITH {line_summary(GAMES)} SELECT count(*) AS n_lines, min(line) AS min_line, max(line) AS max_line FROM ls""",
     "range_segments": ranges(GAMES),
     "range_segments_fantasy": ranges(FANTASY),
-    "bad_scores": f"WITH {study(GAMES)} SELECT count(*) FILTER (score > 20e0) AS n_above, max(score) AS max_score FROM study",
+    "bad_scores": f"WITH {study(GAMES)} SELECT count(*) FILTER (score > 33e0) AS n_above, max(score) AS max_score FROM study",
     "score_histogram": score_histogram(GAMES, GAMES.distribution_cap),
     "score_histogram_capped": score_histogram(GAMES, 15.0),
     "score_histogram_format": score_histogram(FORMAT, None),
@@ -443,7 +450,8 @@ ORACLES: dict[str, str] = {
     "spread_bands": spread_bands(GAMES),
     "spread_bands_format": spread_bands(FORMAT),
     "line_score_pairs": f"""WITH {segmented(GAMES)} SELECT segment, segment_order, line, v AS score, count(*) AS n
-      FROM (SELECT *, {capped(15.0)} AS v FROM seg) GROUP BY ALL""",
+      FROM (SELECT *, {capped(33.0)} AS v FROM seg WHERE score IS NOT NULL) JOIN (SELECT segment FROM seg GROUP BY segment HAVING count(*) >= 10)
+        USING (segment) GROUP BY ALL""",
     "line_classes": f"""WITH {line_summary(FANTASY)}, g AS (SELECT line, n, med, CASE WHEN med - line < -0.5e0 THEN 'below'
         WHEN med - line > 0.5e0 THEN 'above' ELSE 'calibrated' END AS line_class FROM ls)
       SELECT line, n, {r('med', 'median_actual')}, line_class,
@@ -457,7 +465,8 @@ ORACLES: dict[str, str] = {
     "odds_count": "SELECT count(*) AS n_odds FROM orders",
     "lines_per_market": f"WITH {RAW_ODDS} SELECT market, count(DISTINCT name) AS n_lines FROM raw GROUP BY market",
     "odds_json_scan": ODDS_FLAT,
-    "odds_payloads": f"{ODDS_FLAT}, {TWICE} WHERE CAST(id AS BIGINT) % 9 <> 0".replace("SELECT * FROM odds", "SELECT odds.* FROM odds"),
+    "odds_payloads": f"{ODDS_FLAT}, {THRICE} WHERE CAST(id AS BIGINT) % 9 <> 0".replace("SELECT * FROM odds", "SELECT odds.* FROM odds"),
+    "odds_payloads_first": f"{ODDS_FLAT}, {TWICE} WHERE CAST(id AS BIGINT) % 9 <> 0".replace("SELECT * FROM odds", "SELECT odds.* FROM odds"),
     "match_header": f"""WITH {FIXTURES} SELECT away_team_display, home_team_display, season_type, season_week, venue_name
       FROM fixtures""",
     "match_odds": f"WITH {RAW_ODDS} SELECT raw.* FROM raw, {TWICE}",
@@ -470,9 +479,13 @@ ORACLES: dict[str, str] = {
     "fixture_active": f"{FIXTURES_FLAT} WHERE sport_id = 'tennis' AND league_id = 'wta' AND (status = 'scheduled' OR is_live)",
     "fixture_rounds": f"""{FIXTURES_FLAT} WHERE sport_id = 'tennis' AND season_type = 'Australian Open'
       AND season_week IN ({names(fixed.ROUNDS)})""",
-    "pages_union": f"WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE} WHERE {PAGE_REACH}",
+    "pages_union": f"WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE}",
+    "pages_union_first": f"WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE} WHERE numerical_id % 12 + 1 <= 4",
+    "pages_union_fetched": f"WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE} WHERE {PAGE_REACH}",
+    "event_fixtures_scoped": f"""WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE} WHERE {EVENT} AND league_id = 'atp'
+      AND start_date > '1995-06-01 00:00:00' AND start_date < '1998-06-01 00:00:00'""",
     "event_fixtures": f"WITH {FIXTURES} SELECT fixtures.* FROM fixtures, {TWICE} WHERE {EVENT}",
-    "event_odds": f"""WITH {FIXTURES}, {ODDS} SELECT odds.* FROM odds, {TWICE} WHERE CAST(id AS BIGINT) % 9 <> 0
+    "event_odds": f"""WITH {FIXTURES}, {ODDS} SELECT odds.* FROM odds, {THRICE} WHERE CAST(id AS BIGINT) % 9 <> 0
       AND fixture_id IN (SELECT id FROM fixtures WHERE {EVENT})""",
     "market_ids": f"WITH {MARKETS} SELECT id FROM markets",
     "market_count": "SELECT count(*) AS n_markets FROM part",
@@ -505,7 +518,7 @@ ORACLES: dict[str, str] = {
     "season_tournament": f"""WITH {SEASONS}, {TOURNAMENTS} SELECT seasons.*, tournament, discipline
       FROM seasons JOIN tour USING (competition_id)""",
     "season_orphans": f"""WITH {COMPETITIONS}, {SEASONS} SELECT * FROM seasons
-      WHERE NOT EXISTS (SELECT 1 FROM comps WHERE comps.id = seasons.competition_id)""",
+      WHERE competition_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM comps WHERE comps.id = seasons.competition_id)""",
     "season_top_tier": f"""WITH {COMPETITIONS}, {SEASONS} SELECT * FROM seasons
       WHERE competition_id IN (SELECT id FROM comps WHERE {TOP_TIER})""",
     "reference_tables": f"""WITH {COMPETITIONS}, {SEASONS} SELECT seasons.*, level FROM seasons
@@ -517,7 +530,7 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'season_id_missing', count(*) FROM seasons WHERE id IS NULL
       UNION ALL SELECT 'season_id_repeated', count(*) - count(DISTINCT id) FROM seasons
       UNION ALL SELECT 'season_orphan', count(*) FROM seasons
-        WHERE NOT EXISTS (SELECT 1 FROM comps WHERE comps.id = seasons.competition_id)""",
+        WHERE competition_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM comps WHERE comps.id = seasons.competition_id)""",
     "id_missing": f"WITH {SNAPSHOTS} SELECT count(*) AS n_rows, count(*) FILTER (id IS NULL) AS n_missing FROM comps",
     "id_duplicates": f"WITH {SNAPSHOTS} SELECT id, count(*) AS n FROM comps WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1",
 }

@@ -71,7 +71,10 @@ def segment_percentiles(freq: DataFrame, profile: Profile, sigma_override: cal.S
 
 
 def metrics(freq: DataFrame, profile: Profile, sigma_override: cal.SigmaOverride = None) -> DataFrame:
-    return cal.calibration_metrics(segment_percentiles(freq, profile, sigma_override), SEGMENT)
+    """Metrics of each segment; one with too few rows is listed too, without metrics and with ``enough`` false."""
+    rows = cal.calibration_metrics(segment_percentiles(freq, profile, sigma_override), SEGMENT)
+    small = cal.small_groups(freq, SEGMENT, profile.min_segment_rows).withColumn("enough", F.lit(False))
+    return rows.withColumn("enough", F.lit(True)).unionByName(small, allowMissingColumns=True)
 
 
 STRATEGIES = ("3-Segment", "Quartiles", "Deciles")
@@ -155,7 +158,7 @@ def report(picks: DataFrame, profile: Profile) -> dict[str, DataFrame]:
         "score_histogram": hist,
         "expected_density": dist.expected_density(hist, SEGMENT),
         "spread_bands": dist.spread_bands(freq, SEGMENT, profile.distribution_cap, profile.min_segment_rows),
-        "line_score_pairs": dist.line_score_pairs(freq, SEGMENT, profile.distribution_cap),
+        "line_score_pairs": dist.line_score_pairs(freq, SEGMENT, profile.distribution_cap, profile.min_segment_rows),
     }
     tables["worst_lines"] = cal.worst_lines(tables["line_calibration"])
     if profile.distribution_cap is not None:

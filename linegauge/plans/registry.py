@@ -192,8 +192,7 @@ DISTRIBUTION_QUERIES: dict[str, Query] = {
     "line_range": _of_freq(GAMES, lambda f: dist.line_range(_lines(GAMES)(f))),
     "range_segments": _ranges(GAMES),
     "range_segments_fantasy": _ranges(FANTASY),
-    # The test scores stay below the real caps, so the audit runs against lower ones.
-    "bad_scores": _of_freq(GAMES, lambda f: dist.scores_above(f, 20.0)),
+    "bad_scores": _of_freq(GAMES, lambda f: dist.scores_above(f, GAMES.distribution_cap)),
     "score_histogram": _of_freq(GAMES, lambda f: _histogram_columns(_histogram(GAMES)(f))),
     "score_histogram_capped": _of_freq(
         GAMES, lambda f: _histogram_columns(dist.score_histogram(f, pr.SEGMENT, 15.0))
@@ -202,7 +201,7 @@ DISTRIBUTION_QUERIES: dict[str, Query] = {
     "expected_density": _of_freq(GAMES, lambda f: dist.expected_density(_histogram(GAMES)(f), pr.SEGMENT)),
     "spread_bands": _bands(GAMES),
     "spread_bands_format": _bands(FORMAT),
-    "line_score_pairs": _of_freq(GAMES, lambda f: dist.line_score_pairs(f, pr.SEGMENT, 15.0)),
+    "line_score_pairs": _of_freq(GAMES, lambda f: dist.line_score_pairs(f, pr.SEGMENT, GAMES.distribution_cap)),
     "line_classes": _of_freq(FANTASY, lambda f: dist.line_classes(_lines(FANTASY)(f))),
 }
 
@@ -252,10 +251,10 @@ def _streamed(source: Callable[[SparkSession, str], DataFrame], start: Callable,
     return run
 
 
-def _event_fixtures(spark: SparkSession, d: str) -> DataFrame:
+def _event_fixtures(spark: SparkSession, d: str, **scope) -> DataFrame:
     path = tables.dump_json(tpch.fixture_pages(spark, d), scratch_dir(spark, "pages"))
     pages = landed.scan_json(spark, path, schemas.FIXTURE_PAGE, documents=False)
-    return load_jobs.event_fixtures(pages, ["request"], sport="tennis", season_type="Australian Open")
+    return load_jobs.event_fixtures(pages, ["request"], **{"sport": "tennis", "season_type": "Australian Open", **scope})
 
 
 def _event_odds(spark: SparkSession, d: str) -> DataFrame:
@@ -279,6 +278,11 @@ INGEST_QUERIES: dict[str, Query] = {
     "odds_payloads": _landed(
         tpch.odds_payloads, "payloads", lambda s, p: flat.flat_odds(landed.odds_payloads(s, p, documents=False))
     ),
+    "odds_payloads_first": _landed(
+        tpch.odds_payloads,
+        "payloads",
+        lambda s, p: flat.flat_odds(landed.odds_payloads(s, p, documents=False, first_only=True)),
+    ),
     "match_header": _landed(
         tpch.match_payloads,
         "matches",
@@ -317,7 +321,22 @@ INGEST_QUERIES: dict[str, Query] = {
         "pages",
         lambda s, p: flat.flat_fixtures(landed.fixture_pages(s, p, request=["request"], documents=False)),
     ),
+    "pages_union_first": _landed(
+        tpch.fixture_pages,
+        "pages",
+        lambda s, p: flat.flat_fixtures(landed.fixture_pages(s, p, max_pages=4, documents=False)),
+    ),
+    "pages_union_fetched": _landed(
+        tpch.fixture_pages,
+        "pages",
+        lambda s, p: flat.flat_fixtures(
+            landed.fixture_pages(s, p, request=["request"], max_pages=10, documents=False, as_fetched=True)
+        ),
+    ),
     "event_fixtures": _event_fixtures,
+    "event_fixtures_scoped": lambda s, d: _event_fixtures(
+        s, d, league="atp", start_date_after="1995-06-01 00:00:00", start_date_before="1998-06-01 00:00:00"
+    ),
     "event_odds": _event_odds,
     "market_ids": _landed(
         tpch.market_lists, "markets", lambda s, p: scopes.ids(landed.markets(s, p, documents=False))

@@ -31,10 +31,14 @@ def local_session(cpus: int | str = "*", app: str = "linegauge", memory: str = "
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, one machine) a temporary folder of this machine is taken.
+    Only a session of one process (tests, one machine) that names none gets a temporary folder of this machine; elsewhere executors
+    would each write to their own disk, so that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     leaf = f"linegauge-{label}-{uuid.uuid4().hex}"
     if shared:
         return f"{shared.rstrip('/')}/{leaf}"
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{tempfile.mkdtemp(prefix='linegauge-')}/{leaf}"

@@ -2,7 +2,6 @@
 
 # Odds scope. At most the first five sportsbooks of a list are taken.
 SPORTSBOOKS = ["betrivers", "bovada", "hard_rock", "pinnacle", "draftkings"]
-MAX_SPORTSBOOKS = 5
 
 # Markets in scope.
 MARKETS = [
@@ -39,8 +38,6 @@ ROUNDS = [
     "finals",
 ]
 
-# Default number of pages read of one request.
-MAX_PAGES = 10
 
 # Competition categories to keep.
 INCLUDED_CATEGORIES = [

@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linegauge.functions.payload import first_element
 from linegauge.sources import schemas
-from linegauge.sources.fixed_values import MAX_PAGES
 
 Paths = str | Sequence[str]
 
@@ -41,16 +39,25 @@ def data_rows(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(F.inline("data"))
 
 
-def pages_in_reach(pages: DataFrame, request: Sequence[str] = (), max_pages: int = MAX_PAGES) -> DataFrame:
-    """Pages a reader would have fetched: from page 1 up to ``max_pages``, ending with the first page whose number is
-    not below its own ``total_pages`` (taken as 1 when absent). ``request`` names the columns that identify a request.
+def pages_in_reach(
+    pages: DataFrame, request: Sequence[str] = (), max_pages: int | None = None, as_fetched: bool = False
+) -> DataFrame:
+    """All landed pages, or on demand those that a reader of the service would have fetched.
+
+    ``max_pages`` keeps pages up to that number. ``as_fetched`` ends each request with the first page whose number is not below its own
+    ``total_pages`` (taken as 1 when absent). Pages of unknown number always stay. ``request`` names the columns that identify a request.
 
-    The last page per request is a table of keys and numbers; page contents are not grouped. It is joined back on the
-    request and a salt from the page number, so that a request with very many pages spreads over ``SALTS`` tasks.
+    The last page per request is a table of keys and numbers; page contents are not grouped. Only ``as_fetched`` needs it: it is joined back on
+    the request and a salt from the page number, so that a request with very many pages spreads over ``SALTS`` tasks.
     """
+    unknown = F.col("page").isNull()
+    if max_pages is not None:
+        pages = pages.filter(unknown | (F.col("page") <= max_pages))
+    if not as_fetched:
+        return pages
     ends_here = F.col("page") >= F.coalesce(F.col("total_pages"), F.lit(1))
     last = F.min(F.when(ends_here, F.col("page"))).alias("last_page")
-    in_reach = (F.col("page") <= max_pages) & (F.col("page") <= F.coalesce("last_page", F.col("page")))
+    in_reach = unknown | (F.col("page") <= F.coalesce("last_page", F.col("page")))
     if request:
         stops = pages.groupBy(*[F.col(c).alias(f"__{c}") for c in request]).agg(last)
         salted = stops.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -62,41 +69,53 @@ def pages_in_reach(pages: DataFrame, request: Sequence[str] = (), max_pages: int
     return pages.withColumn("last_page", stop).filter(in_reach).drop("last_page")
 
 
+def numbered_pages(pages: DataFrame, documents: bool = True) -> DataFrame:
+    """Pages with the number their file name ends in (``...-3.json``) where they carry none. Only a file that is one document names its page."""
+    if not documents:
+        return pages
+    named = F.regexp_extract(F.col("_metadata.file_name"), r"-([0-9]{1,9})\.json(\.gz)?$", 1)
+    return pages.withColumn("page", F.coalesce("page", named.try_cast("bigint")))
+
+
 def fixture_pages(
     spark: SparkSession,
     path: Paths,
     request: Sequence[str] = (),
-    max_pages: int = MAX_PAGES,
+    max_pages: int | None = None,
     documents: bool = True,
+    as_fetched: bool = False,
 ) -> DataFrame:
-    """Fixtures of all pages in reach, duplicates kept. A page without a number takes it from a file name ``...-3.json``."""
-    pages = scan_json(spark, path, schemas.FIXTURE_PAGE, documents)
-    named = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json", 1)
-    numbered = pages.withColumn("page", F.coalesce("page", named.try_cast("bigint")))
-    return data_rows(pages_in_reach(numbered, request, max_pages))
+    """Fixtures of all pages, or of those in reach, duplicates kept."""
+    pages = numbered_pages(scan_json(spark, path, schemas.FIXTURE_PAGE, documents), documents)
+    return data_rows(pages_in_reach(pages, request, max_pages, as_fetched))
+
+
+def _elements(first_only: bool) -> Column:
+    """The ``data`` elements of a payload, one row each."""
+    return F.explode(F.slice("data", 1, 1) if first_only else F.col("data"))
 
 
-def odds_of_payloads(payloads: DataFrame) -> DataFrame:
-    """Odds of the first ``data`` element of each payload, stamped with the payload's fixture; empty payloads give none."""
-    first = payloads.select("fixture_id", first_element(F.col("data"))["odds"].alias("odds"))
+def odds_of_payloads(payloads: DataFrame, first_only: bool = False) -> DataFrame:
+    """Odds of all ``data`` elements of each payload, or of its first, stamped with the payload's fixture; empty payloads give none."""
+    elements = payloads.select("fixture_id", _elements(first_only).alias("e"))
     columns = [F.col(f"o.{f.name}") for f in schemas.RAW_ODDS.fields if f.name != "fixture_id"]
-    return first.select("fixture_id", F.explode("odds").alias("o")).select(*columns, "fixture_id")
+    return elements.select("fixture_id", F.explode("e.odds").alias("o")).select(*columns, "fixture_id")
 
 
-def odds_payloads(spark: SparkSession, path: Paths, documents: bool = True) -> DataFrame:
-    return odds_of_payloads(scan_json(spark, path, schemas.ODDS_PAYLOAD, documents))
+def odds_payloads(spark: SparkSession, path: Paths, documents: bool = True, first_only: bool = False) -> DataFrame:
+    return odds_of_payloads(scan_json(spark, path, schemas.ODDS_PAYLOAD, documents), first_only)
 
 
-def match_header(payloads: DataFrame) -> DataFrame:
-    """Who plays, which event and round, and where, from the first ``data`` element."""
+def match_header(payloads: DataFrame, first_only: bool = False) -> DataFrame:
+    """Who plays, which event and round, and where, of all ``data`` elements or the first."""
     names = ["away_team_display", "home_team_display", "season_type", "season_week", "venue_name"]
-    match = payloads.select(first_element(F.col("data")).alias("m")).filter(F.col("m").isNotNull())
+    match = payloads.select(_elements(first_only).alias("m")).filter(F.col("m").isNotNull())
     return match.select(*[F.col(f"m.{n}") for n in names])
 
 
-def match_odds(payloads: DataFrame) -> DataFrame:
+def match_odds(payloads: DataFrame, first_only: bool = False) -> DataFrame:
     """The odds table of a match payload."""
-    return payloads.select(first_element(F.col("data"))["odds"].alias("odds")).select(F.inline("odds"))
+    return payloads.select(_elements(first_only).alias("m")).select(F.inline("m.odds"))
 
 
 def match_payloads(spark: SparkSession, path: Paths, documents: bool = True, odds: bool = True) -> DataFrame:

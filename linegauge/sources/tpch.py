@@ -27,6 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
         "l_partkey",
         "l_suppkey",
         "l_quantity",
@@ -60,7 +61,8 @@ def picks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stat_type_id",
         "stat_type_name",
         "p_size * 0.5e0 AS pred_line_score",
-        "p_size * 0.5e0 + (l_quantity - 25e0) * 0.25e0 AS score",
+        """CASE WHEN l_orderkey % 97 <> 5 THEN CASE WHEN l_orderkey % 101 = 7 THEN 30e0 + l_quantity
+           ELSE p_size * 0.5e0 + (l_quantity - 25e0) * 0.25e0 END END AS score""",
         "outcome_was_over",
         "outcome_was_under",
         "created_at_est",
@@ -139,13 +141,13 @@ def fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested competitions with ``generated_at``; one customer in ten has none, so some seasons have no competition."""
-    return _competitions(table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 0"))
+    """Nested competitions with ``generated_at``, one per customer."""
+    return _competitions(table(spark, sf_dir, "customer"))
 
 
 def competition_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full snapshot followed by a partial one, some rows without id: input of the key checks."""
-    customers = table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 0")
+    customers = table(spark, sf_dir, "customer")
     both = customers.unionByName(customers.filter("c_acctbal < 0e0"))
     return _competitions(both, "CASE WHEN c_nationkey <> 24 THEN {id} END")
 
@@ -169,7 +171,7 @@ def _competitions(customers: DataFrame, id_rule: str = "{id}") -> DataFrame:
 
 
 def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seasons with ``generated_at``, one per order."""
+    """Seasons with ``generated_at``, one per order; some of an unknown competition, some of none."""
     return table(spark, sf_dir, "orders").selectExpr(
         f"CAST('{FEED_TIME}' AS TIMESTAMP) AS generated_at",
         "concat('sr:season:', CAST(o_orderkey AS STRING)) AS id",
@@ -177,7 +179,8 @@ def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(o_orderdate AS DATE) AS start_date",
         "date_add(CAST(o_orderdate AS DATE), 14) AS end_date",
         "CAST(year(o_orderdate) AS STRING) AS year",
-        "concat('sr:competition:', CAST(o_custkey + 2000 AS STRING)) AS competition_id",
+        """CASE WHEN o_orderkey % 10 = 3 THEN concat('sr:competition:x', CAST(o_custkey AS STRING))
+           WHEN o_orderkey % 17 <> 5 THEN concat('sr:competition:', CAST(o_custkey + 2000 AS STRING)) END AS competition_id""",
     )
 
 
@@ -207,7 +210,7 @@ def fixture_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def odds_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payload per order; every ninth is empty, the others carry a second element that must be ignored."""
+    """One payload per order; every ninth is empty, the others carry a second element."""
     nested = odds(spark, sf_dir)
     record = F.struct(*[c for c in nested.columns if c != "fixture_id"])
     element = F.struct(F.array(record, record).alias("odds"))

@@ -119,7 +119,12 @@ def test_rows_below_the_minimum_and_missing_values(spark):
     picks = spark.createDataFrame(nine + ten + missing, "pred_line_score double, score double")
     freq = seg.with_segment(pk.score_frequency(pk.scored_numbers(picks)), pr.GAMES.rule)
     rows = pr.metrics(freq, pr.GAMES).collect()
-    assert [(r.segment, r.n, r.n_unscored) for r in rows] == [("Bo3_underdog", 10, 2)]
+    found = {r.segment: (r.n, r.n_unscored, r.enough, r.mace is None) for r in rows}
+    # Groups below ten rows, scored or not, are listed without metrics.
+    assert found == {"Bo3_underdog": (10, 2, True, False), "Bo3_lopsided": (9, 0, False, True), "Bo5_likely": (0, 1, False, True)}
+    hist = dist.score_histogram(freq, pr.SEGMENT, None).collect()
+    expected, _ = np.histogram([float(i) for i in range(10)], bins=30)
+    assert [r["count"] for r in sorted(hist, key=lambda r: r.bin)] == expected.tolist()
     # Every row counts in the distribution, also without line (last segment) or score.
     assert {r.segment: r.n for r in dist.segment_counts(freq).collect()} == {
         "Bo3_lopsided": 9, "Bo3_underdog": 12, "Bo5_likely": 1,

@@ -70,20 +70,20 @@ def page(number, total, ids, **extra):
 def test_pages_stop_at_the_last_one(spark, land, tmp_path):
     for n in (1, 2, 3):
         land(f"pages/p{n}.json", page(n, 2, [f"x{n}", "same"]))
-    got = [r.id for r in landed.fixture_pages(spark, str(tmp_path / "pages")).collect()]
+    got = [r.id for r in landed.fixture_pages(spark, str(tmp_path / "pages"), as_fetched=True).collect()]
     assert sorted(got) == ["same", "same", "x1", "x2"]
 
 
 def test_pages_without_total(spark, land, tmp_path):
     land("pages/p1.json", page(1, None, ["x1"]))
     land("pages/p2.json", page(2, None, ["x2"]))
-    assert [r.id for r in landed.fixture_pages(spark, str(tmp_path / "pages")).collect()] == ["x1"]
+    assert [r.id for r in landed.fixture_pages(spark, str(tmp_path / "pages"), as_fetched=True).collect()] == ["x1"]
 
 
 def test_page_without_total_is_kept_and_ends_the_request(spark, land, tmp_path):
     for n, total in ((1, 4), (2, 4), (3, None), (4, 4)):
         land(f"pages/p{n}.json", page(n, total, [f"x{n}"]))
-    got = sorted(r.id for r in landed.fixture_pages(spark, str(tmp_path / "pages")).collect())
+    got = sorted(r.id for r in landed.fixture_pages(spark, str(tmp_path / "pages"), as_fetched=True).collect())
     assert got == ["x1", "x2", "x3"]
 
 
@@ -101,23 +101,40 @@ def test_pages_of_several_requests(spark, land, tmp_path):
     land("pages/a2.json", page(2, 2, ["a2"], request="a"))
     land("pages/b1.json", page(1, 1, ["b1"], request="b"))
     land("pages/b2.json", page(2, 1, ["b2"], request="b"))
-    got = sorted(r.id for r in landed.fixture_pages(spark, str(tmp_path / "pages"), request=["request"]).collect())
+    got = sorted(r.id for r in landed.fixture_pages(spark, str(tmp_path / "pages"), request=["request"], as_fetched=True).collect())
     assert got == ["a1", "a2", "b1"]
 
 
+def test_all_pages_are_read_by_default(spark, land, tmp_path):
+    for n in range(1, 16):
+        land(f"pages/p{n}.json", page(n, 2, [f"x{n}"]))
+    for name in ("first.json", "fixtures_2026.json", "part-00000-c000.json"):
+        body = page(1, None, [name])
+        del body["page"]
+        land(f"pages/{name}", body)
+    everything = {f"x{n}" for n in range(1, 16)} | {"first.json", "fixtures_2026.json", "part-00000-c000.json"}
+    path = str(tmp_path / "pages")
+    assert {r.id for r in landed.fixture_pages(spark, path).collect()} == everything
+    # Pages of unknown number stay under each limit.
+    few = {r.id for r in landed.fixture_pages(spark, path, max_pages=3, as_fetched=True).collect()}
+    assert few == {"x1", "x2", "first.json", "fixtures_2026.json", "part-00000-c000.json"}
+
+
 def test_pages_without_data(spark, land, tmp_path):
     land("pages/p1.json", {"page": 1, "total_pages": 1})
     assert landed.fixture_pages(spark, str(tmp_path / "pages")).count() == 0
 
 
-def test_odds_payloads_take_the_first_element(spark, land, tmp_path):
+def test_odds_payloads_take_all_elements_or_the_first(spark, land, tmp_path):
     odds = [{"id": "1", "name": "Over"}, {"id": "2", "name": "Under", "fixture_id": "wrong"}]
     land("odds/f1.json", {"fixture_id": "f1", "data": [{"odds": odds}, {"odds": [{"id": "9"}]}]})
     land("odds/f2.json", {"fixture_id": "f2", "data": []})
     land("odds/f3.json", {"fixture_id": "f3"})
     land("odds/f4.json", {"fixture_id": "f4", "data": [{}]})
-    rows = landed.odds_payloads(spark, str(tmp_path / "odds")).orderBy("id").collect()
+    rows = landed.odds_payloads(spark, str(tmp_path / "odds"), first_only=True).orderBy("id").collect()
     assert [(r.id, r.fixture_id) for r in rows] == [("1", "f1"), ("2", "f1")]
+    rows = landed.odds_payloads(spark, str(tmp_path / "odds")).orderBy("id").collect()
+    assert [(r.id, r.fixture_id) for r in rows] == [("1", "f1"), ("2", "f1"), ("9", "f1")]
 
 
 def test_match_payload(spark, land):
@@ -188,7 +205,7 @@ def test_competitions_and_seasons(spark, land):
     ids = lambda df: sorted(r.id for r in df.collect())
     assert str(flat_seasons.filter("id = 's1'").first().start_date) == "2026-01-18"
     assert ids(ref.seasons_of(flat_seasons, ref.main_circuits(comps))) == ["s1"]
-    assert ids(ref.orphan_seasons(flat_seasons, comps)) == ["s2", "s3", "s4"]
+    assert ids(ref.orphan_seasons(flat_seasons, comps)) == ["s2", "s3"]
     found = ref.seasons_with_tournament(flat_seasons).collect()
     assert [(r.id, r.tournament, r.discipline) for r in found] == [("s3", "Canada", "MS")]
 
@@ -199,10 +216,10 @@ def test_fixed_values():
     assert len(fixed.MARKETS) == 20 and len(fixed.EXCLUDED_CATEGORIES) == 14
 
 
-def test_odds_scope_takes_five_sportsbooks(spark):
+def test_odds_scope_takes_all_listed_sportsbooks(spark):
     rows = [(b, "moneyline", True, "f") for b in "abcdef"] + [("a", "other", True, "f"), ("a", "moneyline", None, "f")]
     odds = spark.createDataFrame(rows, "sportsbook string, market string, is_main boolean, fixture_id string")
-    assert scopes.odds_scope(odds, sportsbooks=list("abcdef")).count() == 5
+    assert scopes.odds_scope(odds, sportsbooks=list("abcdef")).count() == 6
     assert scopes.odds_scope(odds, fixture_id="g", sportsbooks=["a"]).count() == 0
 
 

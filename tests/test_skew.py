@@ -68,7 +68,7 @@ def test_hot_request_spreads(spark):
     )
     values = {**SMALL_PARTITIONS, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     with settings(spark, values):
-        reached = landed.pages_in_reach(pages, ["request"], max_pages=20_000)
+        reached = landed.pages_in_reach(pages, ["request"], max_pages=20_000, as_fetched=True)
         hot = reached.filter("request = 'hot'").withColumn("task", F.spark_partition_id())
         assert hot.agg(F.countDistinct("task")).first()[0] >= 5
         assert hot.count() == 9000
@@ -130,11 +130,18 @@ def test_scratch_folders_follow_the_session():
         def __init__(self, values):
             self.get = lambda key, default=None: values.get(key, default)
 
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
     class Session:
-        def __init__(self, values):
-            self.conf = Conf(values)
+        def __init__(self, values, master="local[8]"):
+            self.conf, self.sparkContext = Conf(values), Context(master)
 
     shared = Session({"spark.checkpoint.dir": "hdfs:///shared/"})
     first, second = scratch_dir(shared, "x"), scratch_dir(shared, "x")
     assert first.startswith("hdfs:///shared/linegauge-x-") and first != second
     assert scratch_dir(Session({}), "x").startswith("/")
+    for master in ("yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            scratch_dir(Session({}, master), "x")
