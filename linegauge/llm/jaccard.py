@@ -5,9 +5,9 @@
    the same everywhere, so the sketch decides on speed alone.
 3. Short lists. A partner of a set of n grams must share at least T = ceil(t n) of them, so it is in one of the inverted lists of the n - T + 1
    rarest grams. These are the short lists; the other T - 1 grams have the long lists, which are never built.
-4. Merge. The short lists of a query are merged by a heap into candidates, each with its number of occurrences. First each list is given to one query
-   only, the leader of the list, which links whole groups of near copies without pairing them; then only members of a list that are still in
-   different components are paired.
+4. Merge. The short lists of a query are merged by a heap into candidates, each with its number of occurrences. In the first turns each list is given to
+   one query only, the leader of the list, which links whole groups of near copies without pairing them; then only members of a list that are
+   still in different components are paired.
 5. Probe. For the rest of the grams the candidate's sorted grams are searched by bisection (DivideSkip), and pairs that reach
    the required overlap are links. Components of the links are the classes.
 
@@ -39,6 +39,8 @@ SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 14
 #: Rows up to which a list of documents or pairs is broadcast rather than shuffled with the sets.
 SMALL_ROWS = 500_000
+#: Turns in which each list is given to one query, before all that is still apart is paired.
+LEADER_TURNS = 2
 #: Rows of one query's lists that are merged in one go; larger queries are dealt out by candidate.
 MERGE_ROWS = 50_000
 _WEIGHTS = np.random.default_rng(77).integers(0, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -278,20 +280,33 @@ def links_and_sets(docs: DataFrame, like: Likeness) -> tuple[DataFrame, DataFram
         alike = like.per_cent * F.greatest(n, m) <= 100 * F.least(n, m)
         return alike & (left * (100 + like.per_cent) >= like.per_cent * (n + m))
 
-    leaders = lists.groupBy("token").agg(F.min_by(F.struct("node", "n", "place"), F.xxhash64("node")).alias("first"))
-    leaders = leaders.select("token", "first.*")
-    given = leaders.alias("q").join(lists.alias("c"), "token").where("q.node != c.node").where(fits("q", "c"))
-    pairs = merged(given.select(F.col("q.node").alias("query"), "token", F.col("c.node").alias("candidate")))
-    first = stored(probed(pairs, grams, like), "links")
-    labels = components(first)
-
-    labelled = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("token").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("token")
-    labelled = stored(labelled.join(mixed, "token"), "lists-mixed")
-    given = labelled.alias("q").join(labelled.alias("c"), "token").where("q.node < c.node AND q.component != c.component").where(fits("q", "c"))
-    pairs = merged(given.select(F.col("q.node").alias("query"), "token", F.col("c.node").alias("candidate")))
-    second = stored(probed(pairs, grams, like), "links")
-    return sets, nodes.select("s1", "s2", "node").join(components(first.union(second)), "node")
+    def linked(given: DataFrame) -> DataFrame:
+        pairs = merged(given.select(F.col("q.node").alias("query"), "token", F.col("c.node").alias("candidate")))
+        return stored(probed(pairs, grams, like), "links")
+
+    # The central texts of a group of near copies are those in most lists: an edited text has grams of its own among its rarest.
+    central = lists.groupBy("node").agg(F.count("*").alias("lists"))
+    lists = stored(lists.join(central, "node").withColumn("component", F.col("node")), "lists-central")
+    plain = ["token", "node", "n", "place", "lists"]
+    links = None
+    for turn in range(LEADER_TURNS):
+        # Later turns take another leader for each list, from the members of the component with the most of them.
+        order = F.struct("lists", F.xxhash64("node")) if turn == 0 else F.struct("common", F.xxhash64("node", "token", F.lit(turn)))
+        led = lists
+        if turn:
+            common = lists.groupBy("token", "component").agg(F.count("*").alias("common"))
+            led = lists.join(common, ["token", "component"])
+        leaders = led.groupBy("token").agg(F.max_by(F.struct("node", "n", "place", "component"), order).alias("first"))
+        leaders = leaders.select("token", "first.*")
+        given = leaders.alias("q").join(lists.alias("c"), "token").where("q.component != c.component").where(fits("q", "c"))
+        links = linked(given) if links is None else links.union(linked(given))
+        labels = components(links)
+        labelled = lists.select(*plain).join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = labelled.groupBy("token").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("token")
+        lists = stored(labelled.join(mixed, "token"), "lists-mixed")
+    given = lists.alias("q").join(lists.alias("c"), "token").where("q.node < c.node AND q.component != c.component").where(fits("q", "c"))
+    links = links.union(linked(given))
+    return sets, nodes.select("s1", "s2", "node").join(components(links), "node")
 
 
 def classes(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
