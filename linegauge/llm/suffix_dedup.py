@@ -12,8 +12,7 @@ A byte goes when it lies in a ``SPAN``-byte string that starts anywhere else too
 4. Repeated strings go back to their texts as spans, which are united and cut out.
 
 Repeated phrases are counted per task before they are shuffled. A trigger with more than ``HOT`` distinct phrases is compared by grouping single strings
-instead of one group per trigger bucket, so no trigger has to fit in a task. What is attached to a text is bounded by its length. Attaching uses a
-broadcast only below a checked size, else a shuffle of texts.
+instead of one group per trigger bucket, so no trigger has to fit in a task. What is attached to a text is bounded by its length.
 
 Texts are UTF-8 bytes; null counts as empty and stays as it is in ``without_repeats``. Texts below ``SPAN`` bytes lose nothing. Texts are told apart by doc_id
 and a hash of the text, so null and repeated doc_ids work; a row that is there twice is repeated as a whole. An empty table gives no rows.
@@ -37,8 +36,6 @@ SPAN = 200
 HOT = 20_000
 #: Distinct phrases that one task compares, on average.
 BUCKET_PHRASES = 20_000
-#: Largest side that is broadcast: rows, and entries of their lists.
-SMALL_ROWS, SMALL_ENTRIES = 400_000, 2_000_000
 
 PARSE = "doc_id long, mark int, start int, count int, at int, key long, digest long"
 FOUND = "doc_id long, mark int, start int, count int"
@@ -80,10 +77,7 @@ def parse(docs: DataFrame, span: int) -> DataFrame:
 
 
 def attached(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with stored ``lists`` (doc_id, mark, entries), by a broadcast if the lists are small."""
-    size = lists.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("entries")), F.lit(0)).alias("entries")).first()
-    if size.rows <= SMALL_ROWS and size.entries <= SMALL_ENTRIES:
-        lists = F.broadcast(lists)
+    """``docs`` joined with ``lists`` (doc_id, mark, entries). Both grow with the corpus, so texts are shuffled at any size."""
     lists = lists.withColumnsRenamed({"doc_id": "list_id", "mark": "list_mark"})
     same = docs["doc_id"].eqNullSafe(lists["list_id"]) & (docs["mark"] == lists["list_mark"])
     return docs.join(lists, same, how).drop("list_id", "list_mark")
@@ -172,7 +166,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = HOT) -> DataFra
     """``doc_id, mark, entries (start, count)`` of ``marked`` rows: places at which repeated strings begin, as runs. Stored."""
     parsed = stored(parse(docs, span), "parse")
     triggers = parsed.groupBy("key").agg(F.count("*").alias("n"), F.min("digest").alias("a"), F.max("digest").alias("b"))
-    triggers = triggers.where("n > 1").select("key", (F.col("a") != F.col("b")).alias("several"))
+    # Stored, so that the join below has no aggregation in its stage and a hot trigger can be split.
+    triggers = stored(triggers.where("n > 1").select("key", (F.col("a") != F.col("b")).alias("several")), "triggers")
     going_on = stored(parsed.join(triggers, "key"), "parse-repeated")
 
     phrase = ["key", "digest"]
