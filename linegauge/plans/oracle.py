@@ -502,6 +502,7 @@ ORACLES: dict[str, str] = {
     "fixture_append": FIXTURES_FLAT,
     "stream_odds": ODDS_FLAT,
     "stream_fixtures": FIXTURES_FLAT,
+    "odds_batch_and_stream": ODDS_FLAT,
     "competition_flatten": COMPETITIONS_FLAT,
     "competition_feed_scan": COMPETITIONS_FLAT,
     "competition_filter": f"{COMPETITIONS_FLAT} WHERE category_id IN ({INCLUDED})",

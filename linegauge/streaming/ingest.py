@@ -1,6 +1,7 @@
-"""Append-only streams from a landing folder of JSON files to flat parquet.
+"""Append-only streams from a landing folder of JSON files to the flat tables.
 
-Each landed file is read once; the checkpoint remembers which. Records are not de-duplicated by content.
+Each micro-batch is appended by the same function as batch loads, so both may fill one table. Each landed file is read once; the checkpoint remembers
+which. Records are not de-duplicated by content. A crash between an append and its checkpoint entry repeats that micro-batch.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from linegauge.operators.flatten import flat_fixtures, flat_odds
 from linegauge.sources import schemas
+from linegauge.sources.tables import append_rows
 
 
 def landing_stream(
@@ -36,10 +38,17 @@ def _start(
     once: bool,
 ) -> StreamingQuery:
     rows = flatten(landing_stream(spark, landing, schema, documents, files_per_batch))
-    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(lambda batch, _: _append(spark, batch, target))
     if once:
         writer = writer.trigger(availableNow=True)
-    return writer.start(target)
+    return writer.start()
+
+
+def _append(spark: SparkSession, batch: DataFrame, table: str) -> None:
+    append_rows(batch, table)
+    # A stream writes through a session of its own; the caller's would go on reading the files it knows.
+    spark.catalog.refreshTable(table)
 
 
 def stream_odds(
@@ -51,7 +60,7 @@ def stream_odds(
     files_per_batch: int | None = None,
     once: bool = True,
 ) -> StreamingQuery:
-    """Flatten landed odds and append them. ``once`` handles what has landed so far and stops."""
+    """Flatten landed odds and append them to the table ``target``, which must exist. ``once`` handles what has landed so far and stops."""
     return _start(
         spark, landing, target, checkpoint, schemas.RAW_ODDS, flat_odds, documents, files_per_batch, once
     )
