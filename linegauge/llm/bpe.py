@@ -1,6 +1,6 @@
 """Byte-level BPE by a table of ranks: a global shuffle of distinct words, each encoded once, and decoding by the token-byte table.
 
-1. Texts are cut into words by the vocabulary's pattern. About eight megabytes of text make a block; a block turns into its list of distinct words
+1. Texts are cut into words by the vocabulary's pattern. About five megabytes of text make a block; a block turns into its list of distinct words
    and, for each document, the sequence of positions in that list. So a word that fills a third of the corpus leaves a block as one row entry.
 2. The words of all blocks meet by hash bucket, where each distinct word is encoded once; the number of buckets follows the size of the corpus, so that
    a bucket stays small. Words travel packed by (block, bucket).
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from linegauge.llm.common import documents, slices, texts_of
 from linegauge.llm.tokens import cuts, words
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 #: Bytes of text for which one bucket of words is planned.
 BUCKET_BYTES = 2 << 20
 #: ``n`` words, their numbers in the block, and the words or (from step 2) their ids. Rows without a bucket hold the documents of a block.
