@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linegauge.llm.common import documents, slices, stored
@@ -153,10 +153,10 @@ def total_sketch(rows: DataFrame) -> np.ndarray:
 def short_lists(docs: DataFrame, sketch: np.ndarray, like: Likeness) -> DataFrame:
     """Step 3: ``token, s1, s2, n, place`` of the rarest grams of each set, copies counted once; tokens of one set only are left out."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(sketch)
+    sent = spark.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, shift = shared.value, np.uint64(64 - SKETCH_BITS)
+        counts, shift = sent.value, np.uint64(64 - SKETCH_BITS)
         for part in slices(batches):
             owner, gram = gram_sets(part.column("text"), like.words)
             n, s1, s2 = signatures(owner, gram, part.num_rows)
@@ -175,8 +175,10 @@ def short_lists(docs: DataFrame, sketch: np.ndarray, like: Likeness) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "s1", "s2", "n", "place"])
 
     rows = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "token long, s1 long, s2 long, n long, place long")
-    alike = rows.groupBy("token").agg(F.collect_set(F.struct("s1", "s2", "n", "place")).alias("members"))
-    return alike.where("size(members) > 1").select("token", F.explode("members").alias("m")).select("token", "m.*")
+    # A window keeps the rows of a token on disk if they are many; no list is gathered.
+    same = Window.partitionBy("token")
+    shared = rows.withColumns({"least": F.min("s1").over(same), "most": F.max("s1").over(same)}).where("least != most")
+    return shared.drop("least", "most").distinct()
 
 
 def merged(rows: DataFrame, least: int = 1) -> DataFrame:
