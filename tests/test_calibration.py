@@ -344,3 +344,15 @@ def test_report_has_every_table(spark):
     assert set(tables) >= {"segment_stats", "calibration_metrics", "strategy_compare", "worst_lines", "range_segments"}
     for name, table in tables.items():
         assert table.count() > 0, name
+
+
+def test_override_keys_may_hold_quotes(spark):
+    rows = frequency(spark, [(5.0, float(i)) for i in range(12)]).selectExpr("'it''s \\\\ odd' AS segment", "line", "score", "n")
+    made = cal.percentiles(rows, ["segment"], sigma_override={"it's \\ odd": 2.5})
+    assert {r.sigma for r in made.collect()} == {2.5}
+
+
+def test_pairs_of_small_segments_are_left_out(spark):
+    rows = seg.with_segment(frequency(spark, [(7.0, float(i)) for i in range(9)] + [(12.0, float(i)) for i in range(10)]), pr.GAMES.rule)
+    assert {r.segment for r in dist.line_score_pairs(rows, pr.SEGMENT, None).collect()} == {"Bo3_underdog"}
+    assert len({r.segment for r in dist.line_score_pairs(rows, pr.SEGMENT, None, min_rows=1).collect()}) == 2
