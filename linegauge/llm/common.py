@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from linegauge.session import scratch_dir
 
 #: Bytes of text that a task works on at once. One longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from linegauge.llm.common import slices, texts_of
 
 #: Distinct cuts and words that a worker remembers, bounds of its memory only.
-CUTS_REMEMBERED = 800_000
-WORDS_REMEMBERED = 800_000
+CUTS_REMEMBERED = 300_000
+WORDS_REMEMBERED = 400_000
 _INSIDE_RUN = re.compile(r"\s (?:\s|\Z)")
 _RUN = re.compile(r"\s\s|\A\s|\s\Z")
 _WORDS = regex.compile(public_tokenizers.PATTERN)
