@@ -11,8 +11,9 @@
 5. Probe. For the rest of the grams the candidate's sorted grams are searched by bisection (DivideSkip), and pairs that reach
    the required overlap are links. Components of the links are the classes.
 
-Null text and texts without words have the empty set, which links with nothing. Rows of null doc_id get their number of grams and no component. Repeated doc_ids
-are nodes like others; they share a component if their texts link, and each row is returned. An empty table gives no rows. Other columns are ignored
+Null text and texts without words have the empty set, which links with nothing. Rows of null doc_id get their number of grams and no component. Nodes are sets and
+not doc_ids: texts of a repeated doc_id share a class only if they link, and each row is returned. A component is named by the smallest doc_id of its class, so two
+classes have one name where a repeated doc_id is the smallest of both. An empty table gives no rows. Other columns are ignored
 by ``classes`` and passed on by ``one_of_each``. Grams are compared by hashes of 64 bits (sets) and of 40 bits (overlaps).
 """
 
@@ -81,7 +82,7 @@ def gram_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(count)
     gram = np.zeros(len(word), np.uint64)
     for k in range(words):
-        gram[: len(word) - k] += word[k:] * _WEIGHTS[k]
+        gram[: max(len(word) - k, 0)] += word[k:] * _WEIGHTS[k]
     whole = np.arange(len(word)) + words <= ends[owner]
     grams, owners = [_mixed(gram[whole])], [owner[whole]]
     few = np.flatnonzero((count > 0) & (count < words))
@@ -108,7 +109,12 @@ def signatures(owner: np.ndarray, gram: np.ndarray, docs: int) -> tuple[np.ndarr
     return np.bincount(owner, minlength=docs), *sums
 
 
-SETS = "doc_id long, n long, s1 long, s2 long, block int, counts binary"
+def marked(docs: DataFrame) -> DataFrame:
+    """``doc_id, mark, text``: the mark is a hash of the text, which tells rows of equal doc_id apart."""
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+
+
+SETS = "doc_id long, mark long, n long, s1 long, s2 long, block int, counts binary"
 
 
 def sets_and_sketch(docs: DataFrame, like: Likeness) -> DataFrame:
@@ -122,16 +128,17 @@ def sets_and_sketch(docs: DataFrame, like: Likeness) -> DataFrame:
             np.add.at(sketch, (gram >> shift).astype(np.int64), 1)
             n, s1, s2 = signatures(owner, gram, part.num_rows)
             nothing = pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(s1), pa.array(s2), *nothing], NAMES)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), pa.array(n), pa.array(s1), pa.array(s2), *nothing], NAMES)
         blocks = [(k, b) for k, b in enumerate(sketch.reshape(-1, SKETCH_BLOCK)) if b.any()]
         packed = [zstandard.compress(b.view(np.uint8).reshape(-1, 4).T.tobytes(), 1) for _, b in blocks]
-        longs = [pa.nulls(len(blocks), pa.int64())] * 4
+        longs = [pa.nulls(len(blocks), pa.int64())] * 5
         yield pa.RecordBatch.from_arrays([*longs, pa.array([k for k, _ in blocks], pa.int32()), pa.array(packed, pa.binary())], NAMES)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+    return marked(docs).mapInArrow(run, SETS)
 
 
 NAMES = [f.split()[0] for f in SETS.split(", ")]
+FIRST = "min(struct(doc_id IS NULL AS nameless, doc_id, mark)) AS first"
 
 
 def total_sketch(rows: DataFrame) -> np.ndarray:
@@ -174,7 +181,7 @@ def short_lists(docs: DataFrame, sketch: np.ndarray, like: Likeness) -> DataFram
             columns = [token.view(np.int64), s1[owner], s2[owner], n[owner], place]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "s1", "s2", "n", "place"])
 
-    rows = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "token long, s1 long, s2 long, n long, place long")
+    rows = docs.select("text").mapInArrow(run, "token long, s1 long, s2 long, n long, place long")
     # A window keeps the rows of a token on disk if they are many; no list is gathered.
     same = Window.partitionBy("token")
     shared = rows.withColumns({"least": F.min("s1").over(same), "most": F.max("s1").over(same)}).where("least != most")
@@ -210,16 +217,20 @@ def merged(rows: DataFrame, least: int = 1) -> DataFrame:
 
 
 def node_grams(docs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
-    """``node, grams``: sorted 40-bit gram hashes of the texts of the nodes (rows ``node``; a node is a doc_id)."""
+    """``node, grams``: sorted 40-bit gram hashes of the sets (rows ``node, doc_id, mark``, the row that a set is read from), once for each. Stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             owner, gram = gram_sets(part.column("text"), like.words)
             ends = np.cumsum(np.bincount(owner, minlength=part.num_rows))
             made = [packed_grams(g) for g in np.split(gram >> np.uint64(24), ends[:-1])]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(made, pa.binary())], ["node", "grams"])
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(made, pa.binary())], ["node", "grams"])
 
-    return small_or_not(docs.select("doc_id", "text"), nodes.withColumnRenamed("node", "doc_id"), "doc_id").mapInArrow(run, "node long, grams binary")
+    rows = small_or_not(marked(docs), nodes, "doc_id", "mark").select("node", "text")
+    made = stored(rows.mapInArrow(run, "node long, grams binary"), "grams")
+    # Only a row that is in the table twice is read twice.
+    twice = made.groupBy("node").agg(F.count("*").alias("times")).where("times > 1").limit(1).count()
+    return stored(made.dropDuplicates(["node"]), "grams-once") if twice else made
 
 
 def packed_grams(gram: np.ndarray) -> bytes:
@@ -234,9 +245,12 @@ def unpacked_grams(data: bytes) -> np.ndarray:
     return np.cumsum(wide.view(np.uint64).reshape(-1))
 
 
-def small_or_not(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
-    """Join with a stored table, by a broadcast where its number of rows is small."""
-    return rows.join(F.broadcast(small) if small.count() <= SMALL_ROWS else small, on)
+def small_or_not(rows: DataFrame, small: DataFrame, *on: str) -> DataFrame:
+    """Join with a stored table, null keys equal, by a broadcast where its number of rows is small."""
+    renamed = small.withColumnsRenamed({c: f"small_{c}" for c in on})
+    same = [rows[c].eqNullSafe(renamed[f"small_{c}"]) for c in on]
+    joined = rows.join(F.broadcast(renamed) if small.count() <= SMALL_ROWS else renamed, same)
+    return joined.drop(*(f"small_{c}" for c in on))
 
 
 def probed(pairs: DataFrame, grams: DataFrame, like: Likeness) -> DataFrame:
@@ -264,16 +278,21 @@ def probed(pairs: DataFrame, grams: DataFrame, like: Likeness) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def links_and_sets(docs: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame]:
-    """``sets`` (doc_id, n, s1, s2) of all rows and ``labels`` (node, component) of the nodes that have links."""
+def links_and_sets(docs: DataFrame, like: Likeness, nameless: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``sets`` (doc_id, mark, n, s1, s2) of all rows and ``labels`` (s1, s2, component, first) of the sets that have links.
+
+    ``first`` is the first row (nameless, doc_id, mark) of the set; rows of null doc_id come last, and take part only if ``nameless``.
+    """
     made = stored(sets_and_sketch(docs, like), "sets")
-    sets = made.where("block IS NULL").select("doc_id", "n", "s1", "s2")
-    lists = stored(short_lists(docs, total_sketch(made), like), "short-lists")
-    # A node is the smallest doc_id with its set. Lists with one distinct set never link anything.
+    sets = made.where("block IS NULL").select("doc_id", "mark", "n", "s1", "s2")
+    part = F.lit(nameless) | F.col("doc_id").isNotNull()
+    lists = stored(short_lists(docs.where(part), total_sketch(made), like), "short-lists")
+    # A node is a set, numbered as it is stored. Lists with one distinct set never link anything.
     involved = lists.select("s1", "s2").distinct()
-    nodes = stored(sets.where("n > 0").join(involved, ["s1", "s2"]).groupBy("s1", "s2").agg(F.min("doc_id").alias("node")), "nodes")
+    nodes = sets.where("n > 0").where(part).join(involved, ["s1", "s2"]).groupBy("s1", "s2").agg(F.expr(FIRST))
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     lists = stored(lists.join(nodes, ["s1", "s2"]).select("token", "node", "n", "place"), "lists")
-    grams = stored(node_grams(docs, nodes.select("node"), like), "grams")
+    grams = node_grams(docs, nodes.select("node", "first.doc_id", "first.mark"), like)
 
     def fits(a: str, b: str):
         """Sizes, and what can still be shared from this gram on, allow a link."""
@@ -308,7 +327,7 @@ def links_and_sets(docs: DataFrame, like: Likeness) -> tuple[DataFrame, DataFram
         lists = stored(labelled.join(mixed, "token"), "lists-mixed")
     given = lists.alias("q").join(lists.alias("c"), "token").where("q.node < c.node AND q.component != c.component").where(fits("q", "c"))
     links = links.union(linked(given))
-    return sets, nodes.select("s1", "s2", "node").join(components(links), "node")
+    return sets, nodes.join(components(links), "node").select("s1", "s2", "component", "first")
 
 
 def classes(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
@@ -316,8 +335,10 @@ def classes(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     sets, labels = links_and_sets(docs, like)
     # Without words a text stands alone; equal sets are one class, labelled or not.
     own = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("own"))
-    rows = sets.join(own, ["s1", "s2"], "left").join(labels.select("s1", "s2", "component"), ["s1", "s2"], "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "own"))
+    least = labels.groupBy("component").agg(F.min("first.doc_id").alias("least"))
+    labels = labels.join(least, "component").select("s1", "s2", "least")
+    rows = sets.join(own, ["s1", "s2"], "left").join(labels, ["s1", "s2"], "left")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("least", "own"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 

@@ -81,6 +81,37 @@ def test_one_of_each_keeps_columns(odd):
     assert sorted(map(str, kept.collect())) == sorted(map(str, expected))
 
 
+def test_two_words_in_all(spark):
+    rows = [(1, "one two"), (2, None), (3, ""), (4, " \n")]
+    check_classes(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    for words in range(8):
+        owner, gram = jaccard.gram_sets(pa.array([None, " ".join("abcdefg"[:words]), ""]), 5)
+        assert owner.tolist() == [1] * (max(words - 4, 1) if words else 0)
+
+
+def test_texts_of_a_repeated_doc_id_link_by_themselves(spark):
+    rnd = random.Random(5)
+
+    def near(words, times):
+        made = list(words)
+        for k in rnd.sample(range(len(made)), times):
+            made[k] = f"x{rnd.randint(0, 9999)}"
+        return " ".join(made)
+
+    a, b, c = ([f"{x}{i}" for i in range(150)] for x in "abc")
+    # 1 has texts of three groups, whose other members do not link with each other.
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(c)), (1, " ".join(c)), (2, near(a, 2)), (3, near(b, 2)), (4, near(c, 2)), (5, " ".join(b))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.component_id) for r in jaccard.classes(df).collect()} == {(i, 1) for i in range(1, 6)}
+    _, labels = jaccard.links_and_sets(df, jaccard.Likeness())
+    found = labels.groupBy("component").count().collect()
+    assert sorted(r["count"] for r in found) == [2, 2, 2]
+    # Two texts of one id keep classes of their own where other ids are smaller.
+    rows = [(9, " ".join(a)), (9, " ".join(b)), (2, near(a, 2)), (3, near(b, 2))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((r.doc_id, r.component_id) for r in jaccard.classes(df).collect()) == [(2, 2), (3, 3), (9, 2), (9, 3)]
+
+
 def test_packed_grams_round_trip():
     values = np.unique(np.random.default_rng(1).integers(0, 1 << 40, 500).astype(np.uint64))
     assert jaccard.unpacked_grams(jaccard.packed_grams(values)).tolist() == values.tolist()
