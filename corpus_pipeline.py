@@ -24,8 +24,8 @@ def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each class of near copies."""
-    return jaccard.one_of_each(docs)
+    """One row of each class of near copies, of the smallest doc_id; repeated rows and copies of null doc_id are members too."""
+    return jaccard.one_row_of_each(docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@
 Null text and texts without words have the empty set, which links with nothing. Rows of null doc_id get their number of grams and no component. Nodes are sets and
 not doc_ids: texts of a repeated doc_id share a class only if they link, and each row is returned. A component is named by the smallest doc_id of its class, so two
 classes have one name where a repeated doc_id is the smallest of both. An empty table gives no rows. Other columns are ignored
-by ``classes`` and passed on by ``one_of_each``. Grams are compared by hashes of 64 bits (sets) and of 40 bits (overlaps).
+by ``classes`` and passed on by ``one_of_each`` and ``one_row_of_each``. Grams are compared by hashes of 64 bits (sets) and of 40 bits (overlaps).
 """
 
 from __future__ import annotations
@@ -349,5 +349,33 @@ def one_of_each(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     return docs.join(keep, F.col("doc_id") == F.col("kept_id"), "left").where("kept_id IS NOT NULL OR doc_id IS NULL").select(*docs.columns)
 
 
+def one_row_of_each(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """One row of ``docs`` of each class, all columns: a row of the smallest doc_id. Rows of null doc_id are members like others and stay only where no other is.
+
+    A row that is in the table twice stays once, also without words; different texts without words stay, and so do all of them that have no doc_id.
+    """
+    sets, labels = links_and_sets(docs, like, nameless=True)
+    own = sets.where("n > 0").groupBy("s1", "s2").agg(F.expr(FIRST))
+    alone = own.join(labels.select("s1", "s2"), ["s1", "s2"], "left_anti").select("first")
+    linked = labels.groupBy("component").agg(F.min("first").alias("first")).select("first")
+    wordless = sets.where("n = 0").select("doc_id", "mark").distinct()
+    keep = alone.union(linked).select("first.doc_id", "first.mark").union(wordless)
+    # Rows of the same doc_id and text are told apart by nothing, so any of them is taken; wordless ones of null doc_id are no copies.
+    again = sets.where("n > 0 OR doc_id IS NOT NULL").groupBy("doc_id", "mark").agg(F.count("*").alias("times")).where("times > 1")
+    again = again.select(F.col("doc_id").alias("again_id"), F.col("mark").alias("again_mark"))
+    same = F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("mark") == F.col("again_mark"))
+    keep = stored(keep.join(again, same, "left").select("doc_id", "mark", F.col("again_mark").isNotNull().alias("again")), "kept")
+
+    # As a struct, the document's columns cannot clash with others.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", F.xxhash64("text").alias("mark"))
+
+    def kept(some: DataFrame) -> DataFrame:
+        some = some.select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark"))
+        return rows.join(some, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark")), "left_semi")
+
+    repeated = kept(keep.where("again")).groupBy("doc_id", "mark").agg(F.first("row").alias("row"))
+    return kept(keep.where("NOT again")).select("row").union(repeated.select("row")).select("row.*")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(documents(spark, sf_dir))

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from linegauge.llm import common, graph, jaccard, repetition, suffix_dedup
 from odd_rows import nothing, odd  # noqa: F401
@@ -81,6 +82,29 @@ def test_one_of_each_keeps_columns(odd):
     assert sorted(map(str, kept.collect())) == sorted(map(str, expected))
 
 
+def test_one_row_of_each_class_passes_both_stages(spark):
+    import corpus_pipeline as pipeline
+
+    rnd = random.Random(9)
+    texts = [" ".join(f"t{k}w{rnd.randint(0, 10**6)}" for _ in range(100)) for k in range(7)]
+    near = texts[1].split(" ")
+    near[50] = "changed"
+    rows = [(1, texts[0], "a"), (1, texts[0], "a"), (2, texts[1], "a"), (None, texts[1], "b"), (None, " ".join(near), "c"), (2, " ".join(near), "d")]
+    rows += [(None, texts[2], "a"), (None, texts[2], "a"), (5, texts[3], "a"), (5, texts[4], "a"), (6, texts[5], "a"), (7, texts[5], "b")]
+    rows += [(8, "", "a"), (8, "", "a"), (8, None, "a"), (9, "", "a"), (None, "", "a"), (None, "", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("n_chars", F.char_length("text").cast("long")).repartition(5)
+    kept = common.stored(pipeline.without_near_copies(spark, docs, ""), "test-kept")
+    assert kept.schema == docs.schema
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    # Of the texts of document 2 either may stay, they are one class.
+    second = {k: n for k, n in found.items() if k[0] == 2}
+    assert sum(second.values()) == 1 and next(iter(second))[1] in (texts[1], " ".join(near))
+    expected = [(1, texts[0]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (6, texts[5]), (8, ""), (8, None), (9, ""), (None, ""), (None, "")]
+    assert found - Counter(second) == Counter(expected)
+    after = pipeline.without_repeated_passages(spark, kept, "")
+    assert Counter((r.doc_id, r.text) for r in after.collect()) == found
+
+
 def test_two_words_in_all(spark):
     rows = [(1, "one two"), (2, None), (3, ""), (4, " \n")]
     check_classes(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
