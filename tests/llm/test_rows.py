@@ -137,6 +137,33 @@ def test_factor_one_is_exact(spark, monkeypatch, rows_each):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == brute_nearest(ids, data, 10)
 
 
+@pytest.mark.parametrize("leaf", [8, 128])
+def test_a_repeated_candidate_takes_one_place(spark, monkeypatch, leaf):
+    monkeypatch.setattr(nearest, "LEAF_ROWS", leaf)
+    data = vectors(400)
+    # Each vector 12 times, and one id in ten with a second vector of its own.
+    rows = [(i, v.tolist()) for i, v in enumerate(data)] * 12 + [(i, (data[i] + 0.5).tolist()) for i in range(5, 400, 10)]
+    least = {}
+    for q in range(0, 400, 100):
+        for i, v in rows:
+            if i != q:
+                distance = float(np.sqrt(((np.array(v) - data[q]) ** 2).sum()))
+                least[q, i] = min(distance, least.get((q, i), distance))
+    expected = []
+    for q in range(0, 400, 100):
+        near = sorted((d, i) for (of, i), d in least.items() if of == q)[:10]
+        expected += [(q, rank, i, d) for rank, (d, i) in enumerate(near, 1)]
+    df = nearest.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    for shards in (1, 3):
+        found = nearest.search(nearest.index(df, shards), df.where("vec_id % 100 = 0"), shards, 10, factor=1.0).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == expected
+    # A tree that is given repeated rows keeps different ids too.
+    ids, all_rows = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    order, inner, radii = nearest.build_tree(ids, all_rows)
+    near, near_ids = nearest.Tree(ids[order], all_rows[order], inner, radii).search(np.array([0]), data[:1], 10, 1.0)
+    assert near_ids[0].tolist() == [i for q, _, i, _ in expected if q == 0]
+
+
 def test_recall_of_the_production_factor(spark):
     rows = spark.read.parquet(f"{DATA}/embeddings.parquet").orderBy("vec_id").collect()
     ids, data = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
