@@ -2,7 +2,9 @@
 against ordered rules. DataFrame functions only, without a shuffle: everything happens in the row of the text.
 
 A text is cut into sentences after . ; : ! ? and white space, and before a line that begins with a capital. A sentence is normalised to lower-case letters,
-digits, plus signs and inner full stops, single spaces between. Rules are tried in order; each one found takes its identifiers out of the sequence, so a general
+digits, plus signs and inner full stops, single spaces between. What is looked up is one piece of a text or several that follow each other, the longest that is
+known first, so a notice that is wrapped before a capital, or cut at a semicolon or after "v.", is found as well. The SQL twin looks up single pieces only; the two
+agree on tables without such notices. Rules are tried in order; each one found takes its identifiers out of the sequence, so a general
 rule does not see what a special one has explained. Identifiers that no rule takes are counted as unmatched.
 
 Null and empty texts have no sentences and no licences. Every row gets a row, repeated and null doc_ids too; an empty table gives none. Other columns
@@ -93,16 +95,53 @@ def sentences(text: Column) -> Column:
     return F.transform(F.split(plain, CUT), lambda s: F.regexp_replace(s, "^[ .]+|[ .]+$", ""))
 
 
+def _key(sentence: str) -> str:
+    """A sentence without full stops at the ends of its words, as pieces leave it when they are joined."""
+    return sentence.replace(". ", " ")
+
+
+def known_ids(pieces: Column) -> Column:
+    """Identifiers of the known sentences in order: from the left, the longest run of pieces that makes one; its pieces are used up."""
+    known = F.array(*(F.struct(F.lit(_key(s)).alias("key"), F.lit(i).alias("id")) for s, i in SENTENCES.items()))
+    longest = max(len(_key(s).split(" ")) for s in SENTENCES)
+
+    def runs(piece: Column, at: Column) -> Column:
+        """(at, next, id) of the longest run that begins here, or none."""
+        some = F.filter(known, lambda k: F.startswith(k.key, piece))
+        here = F.slice(pieces, at + 1, longest)
+        sizes = F.sequence(F.lit(1), F.size(here))
+
+        def first(k: Column) -> Column:
+            fits = F.filter(sizes, lambda n: F.array_join(F.slice(here, 1, n), " ") == k.key)
+            return F.struct(F.element_at(fits, 1).alias("n"), k.id.alias("id"))
+
+        whole = F.filter(some, lambda k: F.startswith(F.concat(F.array_join(here, " "), F.lit(" ")), F.concat(k.key, F.lit(" "))))
+        found = F.filter(F.transform(whole, first), lambda r: r.n.isNotNull())
+        best = F.array_max(found)
+        return F.when(F.size(found) > 0, F.struct(at.alias("at"), (at + best.n).alias("next"), best.id.alias("id")))
+
+    every = F.filter(F.transform(pieces, runs), lambda r: r.isNotNull())
+    begin = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("ids"))
+
+    def step(state: Column, run: Column) -> Column:
+        taken = F.struct(run["next"].alias("next"), F.array_append(state.ids, run.id).alias("ids"))
+        return F.when(run.at >= state["next"], taken).otherwise(state)
+
+    return F.aggregate(every, begin, step, lambda state: state.ids)
+
+
 def scanned(docs: DataFrame) -> DataFrame:
     """``doc_id, sentence_ids, licenses`` (arrays in order) and ``n_unmatched``."""
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
     text = F.coalesce("text", F.lit(""))
     lower = F.translate(text, UPPER, LOWER)
     possible = F.lit(False)
     for anchor in ANCHORS:
         possible = possible | F.contains(lower, F.lit(anchor))
-    ids = F.filter(F.transform(sentences(text), lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
-    rows = docs.select("doc_id", F.when(possible, ids).otherwise(F.array().cast("array<string>")).alias("sentence_ids"))
+    none = F.array().cast("array<string>")
+    # Empty pieces and full stops at the ends of words are left out, as in the keys.
+    pieces = F.filter(F.transform(sentences(text), lambda s: F.replace(s, F.lit(". "), F.lit(" "))), lambda s: s != "")
+    rows = docs.select("doc_id", F.when(possible, pieces).otherwise(none).alias("pieces"))
+    rows = rows.select("doc_id", F.when(F.size("pieces") > 0, known_ids(F.col("pieces"))).otherwise(none).alias("sentence_ids"))
 
     # Identifiers are written as <id>, so a rule is a plain piece of text.
     sequence = F.array_join(F.transform("sentence_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")

@@ -64,6 +64,102 @@ def test_license_rules(spark, odd, nothing):
     assert licenses.scanned(odd).count() == odd.count() and licenses.scanned(nothing).count() == 0
 
 
+GNU = """    This program is free software{a} you can redistribute it and/or modify
+    it under the terms of the GNU {kind}General Public License as published by
+    the Free Software Foundation{b} either version {n} of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU {kind}General Public License for more details.
+"""
+WARRANTY = """.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY.
+"""
+APACHE = """Copyright 2020 Somebody
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+CC = "This work is licensed under a Creative\nCommons Attribution{nc} 4.0\nInternational License. To view a copy of this license, visit a page.\n"
+
+
+def test_published_notices(spark):
+    later = "GPL-{}.0-or-later"
+    whole_apache = ["Apache2ref", "ApacheComply", "ApacheBasis"]
+    bsd = ["BSDgrant", "BSDsource", "BSDbinary"]
+    cases = [
+        (MIT.rstrip(".") + WARRANTY, ["MITgrant", "MITnotice", "MITwarranty"], ["MIT"]),
+        (APACHE, whole_apache, ["Apache-2.0"]),
+        (BSD, bsd, ["BSD-2-Clause"]),
+        (BSD + ENDORSE, [*bsd, "BSDendorse"], ["BSD-3-Clause"]),
+        (ISC, ["ISCgrant"], ["ISC"]),
+        (GNU.format(a=";", b=";", kind="", n=2), ["GPL2later"], [later.format(2)]),
+        (GNU.format(a=":", b=",", kind="", n=3), ["GPL3later"], [later.format(3)]),
+        (GNU.format(a=";", b=";", kind="", n=3), ["GPL3later"], [later.format(3)]),
+        (GNU.format(a=":", b=",", kind="Lesser ", n=3), ["LGPL3later"], ["L" + later.format(3)]),
+        (GNU.format(a=":", b=",", kind="Affero ", n=3), ["AGPL3later"], ["A" + later.format(3)]),
+        (MPL, ["MPL2ref"], ["MPL-2.0"]),
+        (CC.format(nc=""), ["CCBY4ref"], ["CC-BY-4.0"]),
+        (CC.format(nc="-NonCommercial"), ["CCBYNC4ref"], ["CC-BY-NC-4.0"]),
+        ("This work is dedicated to the public domain under the\nCC0 license.", ["CC0ref"], ["CC0-1.0"]),
+        ("Licensed under\nCC BY-SA 4.0.", ["CCBYSA4ref"], ["CC-BY-SA-4.0"]),
+        ("Licensed under the\nBSD 2-Clause\nLicense.", ["BSD2ref"], ["BSD-2-Clause"]),
+        ("Licensed under the\nBSD 3-Clause\nLicense.", ["BSD3ref"], ["BSD-3-Clause"]),
+        ("This work is licensed under the\nGNU General Public\nLicense, version 3.", ["GPL3ref"], ["GPL-3.0-only"]),
+        ("This work is licensed under the\nGNU General Public\nLicense, version 2.", ["GPL2ref"], ["GPL-2.0-only"]),
+        ("Licensed under the GNU Lesser General Public\nLicense, version 3.", ["LGPL3ref"], ["LGPL-3.0-only"]),
+        ("Licensed under the GNU Affero General Public\nLicense, version 3.", ["AGPL3ref"], ["AGPL-3.0-only"]),
+        ("Notes\nReleased under the\nMIT License\nAbout", ["MITref"], ["MIT"]),
+        ("Released under the\n\n---\nMIT License. A text.", ["MITref"], ["MIT"]),
+        ("The warranty\nIs not\nLicensed under the MIT", [], []),
+    ]
+    assert {name for name, _ in licenses.RULES} == {name for _, _, names in cases for name in names}
+    styles = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "/*\n" + "".join(f" * {line}\n" for line in t.split("\n")) + " */"]
+    texts = [(k * len(cases) + c, style(case[0])) for k, style in enumerate(styles) for c, case in enumerate(cases)]
+    found = {r.doc_id: (r.sentence_ids, r.licenses, r.n_unmatched) for r in licenses.scanned(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for doc_id, text in texts:
+        _, ids, names = cases[doc_id % len(cases)]
+        assert found[doc_id] == (ids, names, 0), text
+
+
 def conversation(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, valid string, turns int, formatted int")
 
