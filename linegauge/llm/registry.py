@@ -9,6 +9,7 @@ from linegauge.llm.licenses import OP3_SQL, op3_license_scan
 from linegauge.llm.nearest import op8_nearest
 from linegauge.llm.packing import op5_packing
 from linegauge.llm.repetition import op7_quality_rules
+from linegauge.llm.simhash import op11_simhash
 from linegauge.llm.suffix_dedup import op9_suffix_dedup
 from linegauge.llm.token_files import op1_token_files
 from linegauge.llm.toxicity import op10_toxicity
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_simhash": op11_simhash,
 }
 ORACLES: dict[str, str] = {
     "op3_license_scan": OP3_SQL,
