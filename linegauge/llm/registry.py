@@ -13,6 +13,8 @@ from linegauge.llm.simhash import op11_simhash
 from linegauge.llm.suffix_dedup import op9_suffix_dedup
 from linegauge.llm.token_files import op1_token_files
 from linegauge.llm.toxicity import op10_toxicity
+from linegauge.llm.trie_codes import op13_trie_codes
+from linegauge.llm.whitening import op12_whitening
 
 QUERIES = {
     "op1_token_files": op1_token_files,
@@ -26,6 +28,8 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_simhash": op11_simhash,
+    "op12_whitening": op12_whitening,
+    "op13_trie_codes": op13_trie_codes,
 }
 ORACLES: dict[str, str] = {
     "op3_license_scan": OP3_SQL,
