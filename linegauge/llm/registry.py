@@ -13,7 +13,7 @@ from linegauge.llm.simhash import op11_simhash
 from linegauge.llm.suffix_dedup import op9_suffix_dedup
 from linegauge.llm.token_files import op1_token_files
 from linegauge.llm.toxicity import op10_toxicity
-from linegauge.llm.trie_codes import op13_trie_codes
+from linegauge.llm.trie_codes import OP13_SQL, op13_trie_codes
 from linegauge.llm.whitening import op12_whitening
 
 QUERIES = {
@@ -34,4 +34,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_license_scan": OP3_SQL,
     "op6_chat": OP6_SQL,
+    "op13_trie_codes": OP13_SQL,
 }

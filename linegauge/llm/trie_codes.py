@@ -174,3 +174,54 @@ def op13_trie_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = codes.groupBy(F.col("label").alias("of_label")).agg(F.sum("error").alias("label_error"))
     found = codes.join(totals, F.col("label").eqNullSafe(F.col("of_label")))
     return found.select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
+def _twin() -> str:
+    """DuckDB SQL that measures every distinct part against every entry, with its own constants: 4 parts, 256 entries, 4 rounds, scale 1024."""
+    steps = [
+        """finite AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, label, embedding FROM embeddings
+  WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda c: c IS NOT NULL AND isfinite(CAST(c AS DOUBLE))))
+)""",
+        "usual AS (SELECT len(embedding) AS n FROM finite GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1)",
+        """kept AS MATERIALIZED (
+  SELECT id, vec_id, label, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM finite WHERE len(embedding) = (SELECT n FROM usual)
+)""",
+        """pieces AS MATERIALIZED (
+  SELECT id, p, x[p * len(x) // 4 + 1 : (p + 1) * len(x) // 4] AS part FROM kept, (SELECT unnest([0, 1, 2, 3]) AS p)
+)""",
+        "parts AS MATERIALIZED (SELECT p, part, count(*) AS weight FROM pieces GROUP BY p, part)",
+        "named AS (SELECT vec_id, min(x) AS x FROM kept WHERE vec_id IS NOT NULL GROUP BY vec_id ORDER BY vec_id LIMIT 256)",
+        "numbered AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS e, x FROM named)",
+        """book0 AS MATERIALIZED (
+  SELECT p, e, x[p * len(x) // 4 + 1 : (p + 1) * len(x) // 4] AS entry FROM numbered, (SELECT unnest([0, 1, 2, 3]) AS p)
+)""",
+    ]
+    square = "list_sum(list_transform(range(1, len(part) + 1), lambda i: (part[i] - entry[i]) * (part[i] - entry[i])))"
+    for r in range(5):
+        steps.append(f"""near{r} AS MATERIALIZED (
+  SELECT p, part, weight, min({{'d': CAST({square} AS BIGINT), 'e': e}}) AS best FROM parts JOIN book{r} USING (p) GROUP BY p, part, weight
+)""")
+        if r == 4:
+            break
+        steps.append(f"""book{r + 1} AS MATERIALIZED (
+  WITH sums AS (
+    SELECT p, best.e AS e, i, CAST(sum(weight * part[i]) AS BIGINT) AS s, CAST(sum(weight) AS BIGINT) AS n
+    FROM near{r}, (SELECT unnest(range(1, n // 4 + 1)) AS i FROM usual) GROUP BY 1, 2, 3
+  ), means AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS mean FROM sums GROUP BY p, e)
+  SELECT p, e, coalesce(mean, entry) AS entry FROM book{r} LEFT JOIN means USING (p, e)
+)""")
+    steps += [
+        """coded AS MATERIALIZED (
+  SELECT id, string_agg(format('{:02x}', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM pieces JOIN near4 USING (p, part) GROUP BY id
+)""",
+        "digest AS (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS sha FROM book4)",
+    ]
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha FROM digest) AS codebooks_sha256
+FROM kept JOIN coded USING (id)"""
+
+
+OP13_SQL = _twin()

@@ -3,6 +3,7 @@
 import hashlib
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -164,3 +165,14 @@ def test_empty_tables(spark):
     assert whitening.whitened(none).collect() == []
     codes, books = trie_codes.compressed(none)
     assert codes.collect() == [] and books.size == 0
+
+
+def test_sql_twin(spark, tmp_path):
+    """The twin agrees with the loops on awkward rows, and with the query on the whole table."""
+    rows = awkward()
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{table(spark, rows, tmp_path)}/embeddings.parquet/*.parquet'")
+    assert sorted(duck.execute(registry.ORACLES["op13_trie_codes"]).fetchall(), key=str) == plain_codes(rows)
+    duck.execute(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM '{DATA}/embeddings.parquet'")
+    found = registry.QUERIES["op13_trie_codes"](spark, DATA)
+    assert sorted(duck.execute(registry.ORACLES["op13_trie_codes"]).fetchall(), key=str) == sorted(map(tuple, found.collect()), key=str)
