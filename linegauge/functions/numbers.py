@@ -6,6 +6,8 @@ sees the same expression tree either way.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,33 +38,39 @@ def share(condition: str, weight: str = "n") -> str:
 
 
 class Moments:
-    """Count, mean and deviation of a value that carries a multiplicity, from sums that combine before a shuffle."""
+    """Count, mean and deviation of a value that carries a multiplicity, in states that combine before a shuffle.
+
+    The squares around the mean come from a summary whose states hold count, mean and squares around that mean and are merged pairwise, so
+    nothing cancels however far values lie from zero. The mean itself is sum over count, exact for values on a grid.
+    """
 
     def __init__(self, name: str, value: str, weight: str = "n"):
-        self.n, self._s, self._q = f"__{name}_n", f"__{name}_s", f"__{name}_q"
+        self.n, self._s, self._m2 = f"__{name}_n", f"__{name}_s", f"__{name}_m2"
         self.min, self.max = f"__{name}_lo", f"__{name}_hi"
         self._value, self._weight = f"({value})", weight
 
     def aggregates(self) -> list[Column]:
         v, w = self._value, self._weight
-        return exprs(
-            f"sum(CASE WHEN {v} IS NOT NULL THEN {w} ELSE 0L END) AS {self.n}",
-            f"sum({v} * {w}) AS {self._s}",
-            f"sum({v} * {v} * {w}) AS {self._q}",
-            f"min({v}) AS {self.min}",
-            f"max({v}) AS {self.max}",
-        )
+        present = f"CASE WHEN {v} IS NOT NULL THEN {w} ELSE 0L END"
+        # A summary must hold a row, so a missing value has a weight that is too small to count.
+        point, weight = array_to_vector(F.expr(f"array(coalesce(CAST({v} AS DOUBLE), 0D))")), F.expr(f"greatest(CAST({present} AS DOUBLE), 1e-300D)")
+        variance = F.get(vector_to_array(Summarizer.variance(point, weight)), 0)
+        # The summary divides by n - sum(w^2) / n, as weights were reliabilities; multiplied back, the squares around the mean remain.
+        divisor = F.expr(f"sum(CAST({present} AS DOUBLE)) - sum(CAST({present} AS DOUBLE) * ({present})) / nullif(sum(CAST({present} AS DOUBLE)), 0D)")
+        return [
+            *exprs(f"sum({present}) AS {self.n}", f"sum({v} * {w}) AS {self._s}", f"min({v}) AS {self.min}", f"max({v}) AS {self.max}"),
+            (variance * divisor).alias(self._m2),
+        ]
 
     @property
     def mean(self) -> str:
         return f"CASE WHEN {self.n} > 0 THEN {self._s} / {self.n} END"
 
     def _deviation(self, divisor: str, least: int) -> str:
-        # Equal ends mean no spread at all, whatever the sums lost to rounding.
-        squares = f"greatest({self._q} - {self._s} * {self._s} / {self.n}, 0.0D)"
+        # Equal ends mean no spread at all, whatever was lost to rounding.
         return (
             f"CASE WHEN {self.n} < {least} THEN NULL WHEN {self.min} = {self.max} THEN 0.0D "
-            f"ELSE sqrt({squares} / {divisor}) END"
+            f"ELSE sqrt(greatest({self._m2}, 0.0D) / {divisor}) END"
         )
 
     @property

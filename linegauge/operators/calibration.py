@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from linegauge.functions.labels import bias_direction, line_bias, line_bias_text, segment_interpretation
 from linegauge.functions.normal import with_line_percentile
 from linegauge.functions.numbers import Moments, exprs, num, round_even, share
+from linegauge.operators.order_stats import MEDIAN, RANGES, running_counts
 
 MIN_SEGMENT_ROWS = 10
 MIN_LINE_ROWS = 20
@@ -24,6 +25,9 @@ INTERVALS = {"coverage_50": (0.25, 0.75), "coverage_80": (0.10, 0.90), "coverage
 
 SigmaOverride = float | Mapping[str, float] | None
 
+#: Range of a percentile in which running counts are taken: equal ones, as percentiles of a fitting normal lie. Groups have percentiles throughout or nowhere.
+PERCENTILE_RANGE = f"coalesce(CAST(floor(value * {num(RANGES)}) AS INT), 0)"
+
 HAS_BOTH = "(line IS NOT NULL AND score IS NOT NULL)"
 
 
@@ -73,10 +77,10 @@ def percentiles(
     return with_line_percentile(joined)
 
 
-def _bin_shares() -> list[Column]:
+def _bin_shares(percentile: str = "percentile") -> list[Column]:
     return exprs(
         *[
-            f"{share(f'percentile >= {num(lo)} AND percentile < {num(hi)}')} AS bin_{i}"
+            f"{share(f'{percentile} >= {num(lo)} AND {percentile} < {num(hi)}')} AS bin_{i}"
             for i, (lo, hi) in enumerate(zip(EDGES, EDGES[1:]))
         ]
     )
@@ -96,19 +100,23 @@ def bin_table(percentile_rows: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 
 def calibration_metrics(percentile_rows: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Coverage, calibration error, median percentile and bias per group, in one aggregation."""
-    wide = percentile_rows.groupBy(*groups).agg(
+    """Coverage, calibration error, median percentile and bias per group, in one aggregation over running counts.
+
+    Percentiles lie on no grid, so a group may have as many as it has rows; the median is selected by ranges of percentiles. NULL percentiles (no
+    deviation) count as rows outside every interval.
+    """
+    keys = [*groups, "n_unscored", "sigma"]
+    counts = percentile_rows.groupBy(*keys, F.col("percentile").alias("value")).agg(F.sum("n").alias("n"))
+    rows = running_counts(counts, groups, PERCENTILE_RANGE)
+    wide = rows.groupBy(*groups).agg(
         *exprs(
             "sum(n) AS n",
             "max(n_unscored) AS n_unscored",
             "max(sigma) AS sigma",
-            *[
-                f"{share(f'percentile BETWEEN {num(lo)} AND {num(hi)}')} AS {name}"
-                for name, (lo, hi) in INTERVALS.items()
-            ],
-            "percentile(percentile, 0.5D, n) AS median_percentile",
+            *[f"{share(f'value BETWEEN {num(lo)} AND {num(hi)}')} AS {name}" for name, (lo, hi) in INTERVALS.items()],
+            f"{MEDIAN} AS median_percentile",
         ),
-        *_bin_shares(),
+        *_bin_shares("value"),
     )
     median = F.col("median_percentile")
     return wide.select(

@@ -11,6 +11,7 @@ from linegauge.functions.labels import line_class, line_color
 from linegauge.functions.normal import normal_pdf
 from linegauge.functions.numbers import Moments, cap, exprs, num, round_even, share
 from linegauge.operators.calibration import scored_rows
+from linegauge.operators.order_stats import medians
 
 
 def segment_stats(freq: DataFrame, groups: Sequence[str] = ("segment", "segment_order")) -> DataFrame:
@@ -86,24 +87,17 @@ def line_range(lines: DataFrame) -> DataFrame:
 
 
 def range_summary(ranged: DataFrame) -> DataFrame:
-    """Uncapped score summary per proposed range; ranges without rows are absent."""
+    """Uncapped score summary per proposed range; ranges without rows are absent. Ranges are few, so medians are selected by ranges of scores."""
+    keys = ["segment", "segment_order"]
     line, score = Moments("l", "line"), Moments("s", "score")
-    return (
-        ranged.groupBy("segment", "segment_order")
-        .agg(
-            *line.aggregates(),
-            *score.aggregates(),
-            *exprs("sum(n) AS __rows", "percentile(score, 0.5D, n) AS __median"),
-        )
-        .selectExpr(
-            "segment",
-            "segment_order",
-            "__rows AS n",
-            f"{score.mean} AS mean_actual",
-            "__median AS median_actual",
-            f"{score.std_sample} AS std_actual",
-            f"({score.mean}) - ({line.mean}) AS diff",
-        )
+    summed = ranged.groupBy(*keys).agg(*line.aggregates(), *score.aggregates(), *exprs("sum(n) AS __rows"))
+    return summed.join(medians(ranged, keys, "score", "median_actual"), keys, "left").selectExpr(
+        *keys,
+        "__rows AS n",
+        f"{score.mean} AS mean_actual",
+        "median_actual",
+        f"{score.std_sample} AS std_actual",
+        f"({score.mean}) - ({line.mean}) AS diff",
     )
 
 

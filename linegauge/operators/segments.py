@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linegauge.functions.numbers import exprs, num
 from linegauge.functions.rules import RangeRule, SegmentRule
+from linegauge.operators.order_stats import quantiles, value_counts
 
 
 def with_segment(rows: DataFrame, rule: SegmentRule, line: str = "line") -> DataFrame:
@@ -25,30 +25,17 @@ def quantile_points(q: int) -> list[float]:
 
 
 def quantile_edges(freq: DataFrame, *qs: int) -> DataFrame:
-    """One row: the distinct ``lines`` in order, and for each q a column ``edges_<q>`` with the q+1 linearly interpolated
-    quantile edges of the line.
+    """One row: for each q the q+1 linearly interpolated quantile edges of the line as ``edges_<q>``, and the rows that are not above each edge as ``upto_<q>``.
 
     A bucket's ends decide where whole lines go, so the edges must be right to the last bit. The built-in percentile
-    weighs both neighbours, which can miss a line by one unit; here the two order statistics are read off the running
-    counts and interpolated from the nearer one. The running count goes over distinct lines, not picks. NULL lines do
-    not count.
+    weighs both neighbours, which can miss a line by one unit, and holds all lines in one buffer; here the order statistics are selected by
+    ranges of lines (``order_stats``). NULL lines do not count; they are the other group of the key.
     """
-    lines = freq.groupBy("line").agg(F.sum(F.expr("n * CAST(line IS NOT NULL AS BIGINT)")).alias("n")).filter("n > 0")
-    runs = lines.select("line", F.sum("n").over(Window.orderBy("line")).alias("upto")).agg(
-        *exprs("sort_array(collect_list(struct(upto, line))) AS runs", "max(upto) AS total")
-    )
-
-    def edges(q: int) -> str:
-        places = f"transform(array({', '.join(map(num, quantile_points(q)))}), p -> (total - 1) * p)"
-        after = lambda rank: f"get(filter(runs, r -> r.upto > {rank}), 0).line"
-        near = f"struct(k - floor(k) AS t, {after('floor(k)')} AS lo, {after('floor(k) + 1')} AS hi)"
-        between = (
-            "CASE WHEN e.t = 0 OR e.hi IS NULL THEN e.lo WHEN e.t >= 0.5D THEN e.hi - (e.hi - e.lo) * (1 - e.t) "
-            "ELSE e.lo + (e.hi - e.lo) * e.t END"
-        )
-        return f"transform(transform({places}, k -> {near}), e -> {between}) AS edges_{q}"
-
-    return runs.selectExpr("runs.line AS lines", *[edges(q) for q in qs])
+    points = list(dict.fromkeys(p for q in qs for p in quantile_points(q)))
+    keyed = freq.withColumn("no_line", F.expr("line IS NULL"))
+    found = quantiles(value_counts(keyed, ["no_line"], "line"), ["no_line"], points)
+    listed = lambda of, q: f"transform(array({', '.join(str(points.index(p)) for p in quantile_points(q))}), i -> get(quantiles, i).{of})"
+    return found.selectExpr(*[f"{listed('value', q)} AS edges_{q}" for q in qs], *[f"{listed('upto', q)} AS upto_{q}" for q in qs])
 
 
 def edge_rows(freq: DataFrame, q: int) -> DataFrame:
@@ -77,9 +64,13 @@ def slot(line: Column, edges: Column) -> Column:
     return F.when(line.isNotNull() & (F.size(edges) > 1), below + 1)
 
 
-def occupied_slots(lines: Column, edges: Column) -> Column:
-    """Slots that hold one of the lines, in order. Empty slots arise only between merged edges."""
-    return F.array_sort(F.array_distinct(F.transform(lines, lambda one: slot(one, edges))))
+def occupied_slots(q: int) -> Column:
+    """Numbers of the slots between distinct edges that hold a line, in order. Empty slots arise only between merged edges."""
+    edges, upto = F.col(f"edges_{q}"), F.col(f"upto_{q}")
+    # Rows up to each distinct edge; the lowest edge belongs to the first slot, which always holds a line.
+    rows = F.transform(F.array_distinct(edges), lambda e: F.get(upto, (F.array_position(edges, e) - 1).cast("int")))
+    grown = F.filter(F.sequence(F.lit(1), F.lit(q)), lambda i: (i == 1) | (F.get(rows, i) > F.get(rows, i - 1)))
+    return F.filter(grown, lambda i: i < F.size(rows))
 
 
 def place_among(occupied: Column, number: Column) -> Column:
@@ -92,9 +83,7 @@ def with_bucket(freq: DataFrame, q: int, prefix: str, duplicates: str = "raise")
 
     Where repeated edges merge, labels number only the buckets that hold a line.
     """
-    distinct = distinct_edges(F.col(f"edges_{q}"), q, duplicates)
-    ends = quantile_edges(freq, q).select("lines", distinct.alias("edges"))
-    ends = ends.select(F.struct("edges", occupied_slots(F.col("lines"), F.col("edges")).alias("occupied")))
+    ends = quantile_edges(freq, q).select(F.struct(distinct_edges(F.col(f"edges_{q}"), q, duplicates).alias("edges"), occupied_slots(q).alias("occupied")))
     placed = freq.withColumn("__ends", ends.scalar()).withColumn("__slot", slot(F.col("line"), F.col("__ends.edges")))
     number = F.col("__slot") if duplicates == "raise" else place_among(F.col("__ends.occupied"), F.col("__slot"))
     return placed.withColumns(

@@ -88,17 +88,16 @@ def strategies(freq: DataFrame) -> DataFrame:
     edges must be unique; repeated decile edges merge, and if only one is left no pick has a decile.
     """
     both = seg.quantile_edges(freq, 4, 10).select(
-        "lines",
-        seg.distinct_edges(F.col("edges_4"), 4, "raise").alias("quartile"),
-        seg.distinct_edges(F.col("edges_10"), 10, "drop").alias("decile"),
+        F.struct(
+            seg.distinct_edges(F.col("edges_4"), 4, "raise").alias("quartile"),
+            seg.distinct_edges(F.col("edges_10"), 10, "drop").alias("decile"),
+            seg.occupied_slots(10).alias("occupied"),
+        )
     )
-    occupied = seg.occupied_slots(F.col("lines"), F.col("decile")).alias("occupied")
-    placed = freq.withColumn("__ends", both.select(F.struct("quartile", "decile", occupied)).scalar()).withColumns(
+    placed = freq.withColumn("__ends", both.scalar()).withColumns(
         {
             "__quartile": seg.slot(F.col("line"), F.col("__ends.quartile")),
-            "__decile": seg.place_among(
-                F.col("__ends.occupied"), seg.slot(F.col("line"), F.col("__ends.decile"))
-            ),
+            "__decile": seg.place_among(F.col("__ends.occupied"), seg.slot(F.col("line"), F.col("__ends.decile"))),
         }
     )
     entries = ", ".join(

@@ -82,8 +82,27 @@ def test_latest_combines_before_the_shuffle(spark):
 
 
 def test_segments_are_never_a_window_partition(spark):
-    for name in ("calibration_metrics", "line_calibration", "segment_stats_games", "score_histogram"):
+    """Running counts are taken within ranges of a segment, not within segments."""
+    for name in ("line_calibration", "segment_stats_games", "score_histogram"):
         assert "Window" not in first_plan(ALL[name](spark, DATA))
+    for name in ("calibration_metrics", "range_segments"):
+        windows = re.findall(r"windowspecdefinition\(([^)]*)\)", first_plan(ALL[name](spark, DATA)))
+        assert windows and all("bucket#" in w for w in windows)
+
+
+@pytest.mark.parametrize("name", ["quantile_edges", "decile_edges", "quartile_buckets", "decile_buckets", "segmentation_eval", "strategy_compare"])
+def test_quantiles_gather_nothing(spark, name):
+    """Order statistics are selected by ranges: nothing goes to a single partition, no list or buffer of lines is made."""
+    plan = first_plan(ALL[name](spark, DATA))
+    for node in ("collect_list", "percentile("):
+        assert node not in plan
+    if name != "strategy_compare":  # whose last step adds up its few segments
+        assert "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("name", ["calibration_metrics", "calibration_metrics_fantasy", "calibration_metrics_format", "range_segments"])
+def test_medians_of_segments_use_no_buffer(spark, name):
+    assert "percentile(" not in first_plan(ALL[name](spark, DATA))
 
 
 def test_no_table_is_broadcast_by_hint(spark):
