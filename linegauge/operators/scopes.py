@@ -40,7 +40,8 @@ def fixture_scope(
 ) -> DataFrame:
     """Flat fixtures passing every given test.
 
-    Start dates compare strictly at both ends. Only a true ``is_live`` filters; False is the same as not given.
+    Start dates compare strictly at both ends; of a table that is laid out by day or month only
+    the days or months between them are read. Only a true ``is_live`` filters; False is the same as not given.
     Several season weeks (the rounds of an event) are one pass.
     """
     start_type = fixtures.schema["start_date"].dataType
@@ -53,6 +54,11 @@ def fixture_scope(
         tests.append(F.col("start_date") > F.lit(start_date_after).cast(start_type))
     if start_date_before:
         tests.append(F.col("start_date") < F.lit(start_date_before).cast(start_type))
+    for column, unit in (("fixture_day", "DD"), ("fixture_month", "MM")):
+        if column in fixtures.columns:
+            first, last = (None if end is None else F.date_trunc(unit, F.lit(end).cast(start_type)).cast("date") for end in (start_date_after, start_date_before))
+            tests += [F.col(column) >= first] if first is not None else []
+            tests += [F.col(column) <= last] if last is not None else []
     if status:
         tests.append(F.col("status") == status)
     if is_live:

@@ -65,8 +65,11 @@ def load_reference(
     top_only: bool = False,
     documents: bool = True,
 ) -> tuple[int, int]:
-    """Filter both feeds to the main circuits and append them; returns the rows written to each table."""
+    """Filter both feeds to the main circuits and load them by id; returns the rows that each table has then.
+
+    A load may be run again, and a newer feed replaces the rows of known ids (``tables.upsert_rows``).
+    """
     competitions = flat.flat_competitions(landed.competition_feed(spark, competition_path, documents))
     seasons = flat.flat_seasons(landed.season_feed(spark, season_path, documents))
     kept, belonging = main_reference(competitions, seasons, top_only)
-    return tables.append_rows(kept, competition_table), tables.append_rows(belonging, season_table)
+    return tables.upsert_rows(kept, competition_table), tables.upsert_rows(belonging, season_table)

@@ -406,6 +406,7 @@ ORACLES: dict[str, str] = {
     "pick_latest_rownum": f"WITH {study(GAMES)} SELECT {ALL_COLUMNS} FROM study",
     "pick_latest_all": f"WITH {study()} SELECT {KEPT_COLUMNS} FROM study",
     "pick_latest_rownum_all": f"WITH {study()} SELECT {KEPT_COLUMNS} FROM study",
+    "pick_latest_by_day": f"WITH {study()} SELECT {KEPT_COLUMNS} FROM study",
     "pick_count": f"WITH {study(FORMAT)} SELECT count(*) AS n FROM study",
     "pick_segments": f"""WITH {study(GAMES)} SELECT {KEPT_COLUMNS}, {case_of(GAMES.rule, 2)} AS segment,
       {case_of(GAMES.rule, 3)} AS segment_label FROM study""",
@@ -469,6 +470,11 @@ ORACLES: dict[str, str] = {
     "odds_columns": f"WITH {RAW_ODDS} SELECT * FROM raw",
     "odds_count": "SELECT count(*) AS n_odds FROM orders",
     "lines_per_market": f"WITH {RAW_ODDS} SELECT market, count(DISTINCT name) AS n_lines FROM raw GROUP BY market",
+    "lines_per_market_by_day": f"WITH {RAW_ODDS} SELECT market, count(DISTINCT name) AS n_lines FROM raw GROUP BY market",
+    "odds_scope_by_sportsbook": f"""{ODDS_FLAT} WHERE is_main AND sportsbook IN ({names(fixed.SPORTSBOOKS)})
+      AND market IN ({names(fixed.MARKETS)})""",
+    "fixture_scope_by_month": f"""{FIXTURES_FLAT} WHERE sport_id = 'tennis' AND start_date > '1996-01-01 00:00:00'
+      AND start_date < '1996-03-01 12:00:00'""",
     "odds_json_scan": ODDS_FLAT,
     "odds_payloads": f"{ODDS_FLAT}, {THRICE} WHERE CAST(id AS BIGINT) % 9 <> 0".replace("SELECT * FROM odds", "SELECT odds.* FROM odds"),
     "odds_payloads_first": f"{ODDS_FLAT}, {TWICE} WHERE CAST(id AS BIGINT) % 9 <> 0".replace("SELECT * FROM odds", "SELECT odds.* FROM odds"),
@@ -529,6 +535,10 @@ ORACLES: dict[str, str] = {
       WHERE competition_id IN (SELECT id FROM comps WHERE {TOP_TIER})""",
     "reference_tables": f"""WITH {COMPETITIONS}, {SEASONS} SELECT seasons.*, level FROM seasons
       JOIN (SELECT id AS competition_id, level, category_id FROM comps) USING (competition_id) WHERE {TOP_TIER}""",
+    "reference_reload": f"""WITH {COMPETITIONS}, numbered AS (SELECT *, CAST(split_part(id, ':', 3) AS BIGINT) AS k FROM comps)
+      SELECT id, CASE WHEN k % 10 = 0 OR k % 4 = 1 THEN 'newer ' || name ELSE name END AS name, type, gender, category_id, category_name, level, parent_id,
+        CASE WHEN k % 10 = 0 OR k % 4 = 1 THEN '2026-02-01 00:00:00' ELSE '2026-01-11 00:00:00' END AS generated_at
+      FROM numbered""",
     "reference_checks": f"""WITH {SNAPSHOTS}, {SEASONS},
       twice AS (SELECT id FROM comps WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)
       SELECT 'competition_id_missing' AS "check", count(*) AS n FROM comps WHERE id IS NULL

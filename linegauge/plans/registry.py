@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linegauge.functions.numbers import round_even
@@ -17,7 +18,7 @@ from linegauge.operators import quality
 from linegauge.operators import reference as ref
 from linegauge.operators import scopes
 from linegauge.operators import segments as seg
-from linegauge.plans import load_jobs
+from linegauge.plans import incremental, load_jobs
 from linegauge.plans import pick_reports as pr
 from linegauge.session import scratch_dir
 from linegauge.sources import landed, schemas, tables, tpch
@@ -91,6 +92,18 @@ def _segment_columns(picks: DataFrame) -> DataFrame:
     return picks.withColumns({"segment": GAMES.rule.code(line), "segment_label": GAMES.rule.label(line)})
 
 
+def _latest_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """Picks land by the year they were created, one in ten a year late. Years up to 1997 are rolled up, 1999 lands twice."""
+    year = "make_date(year(created_at_est) + CASE WHEN hash(player_name, score) % 10 = 0 THEN 1 ELSE 0 END, 1, 1)"
+    picks = tpch.picks(spark, d).withColumn("landed", F.expr(year))
+    folder = scratch_dir(spark, "latest-parts")
+    incremental.land(incremental.latest_by_day(picks.filter("landed <= DATE '1997-01-01'")), folder)
+    base = incremental.roll_up(spark, folder, "1997-01-01", incremental.latest_of_parts)
+    incremental.land(incremental.latest_by_day(picks.filter("landed > DATE '1997-01-01'")), folder)
+    incremental.land(incremental.latest_by_day(picks.filter("landed = DATE '1999-01-01'")), folder)
+    return incremental.merged(spark, folder, incremental.latest_of_parts, base)
+
+
 def _player_lines(picks: DataFrame) -> DataFrame:
     mine = pk.of_player(pr.study_picks(picks, GAMES), PLAYER)
     rows = dist.histogram(pk.score_frequency(mine, "player_name"), ["player_name"], "line", bins=60)
@@ -108,6 +121,7 @@ PICK_QUERIES: dict[str, Query] = {
     "pick_latest_rownum": _of_picks(lambda p: pk.latest_rows(pr.eligible_picks(p, GAMES))),
     "pick_latest_all": _of_picks(pk.latest),
     "pick_latest_rownum_all": _of_picks(lambda p: pk.latest_rows(p).select(*pk.PICK_COLUMNS)),
+    "pick_latest_by_day": _latest_by_day,
     "pick_count": _of_picks(lambda p: pk.count_rows(pr.study_picks(p, FORMAT))),
     "pick_segments": _of_picks(lambda p: _segment_columns(pr.study_picks(p, GAMES))),
     "stat_types": _of_picks(pk.stat_types),
@@ -264,11 +278,39 @@ def _streamed(
         ).awaitTermination()
         schema = spark.table(name).schema
         spark.sql(f"DROP TABLE {name}")  # external: only the catalog entry goes
-        return spark.read.schema(schema).parquet(location)
+        return tables.table_files(spark, location, schema)
 
     return run
 
 
+def _laid_out(
+    source: Callable[[SparkSession, str], DataFrame], create: Callable[..., bool], layout: str, scope: Callable[[DataFrame], DataFrame]
+) -> Query:
+    """Append the flat rows to a table with a layout, then read a scope of it."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        rows = source(spark, d)
+        location = scratch_dir(spark, layout)
+        name = location.rsplit("/", 1)[1].replace("-", "_")
+        create(spark, name, location, layout)
+        tables.append_rows(rows, name)
+        schema = spark.table(name).schema
+        spark.sql(f"DROP TABLE {name}")  # external: only the catalog entry goes
+        return scope(spark.read.schema(schema).parquet(location)).select(*rows.columns)
+
+    return run
+
+
+def _lines_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """Five landing days, each stored as sketches, the first two rolled up; the last day lands twice."""
+    odds = tpch.odds(spark, d).withColumn("landed", F.expr("date_add(DATE '2026-01-01', CAST(CAST(id AS BIGINT) % 5 AS INT))"))
+    folder = scratch_dir(spark, "line-sketches")
+    incremental.land(incremental.line_sketches_by_day(odds), folder)
+    base = incremental.roll_up(spark, folder, "2026-01-02", incremental.line_sketches_of_parts)
+    incremental.land(incremental.line_sketches_by_day(odds.filter("landed = DATE '2026-01-05'")), folder)
+    return incremental.lines_of_sketches(incremental.merged(spark, folder, incremental.line_sketches_of_parts, base))
+
+
 def _event_fixtures(spark: SparkSession, d: str, **scope) -> DataFrame:
     path = tables.dump_json(tpch.fixture_pages(spark, d), scratch_dir(spark, "pages"))
     pages = landed.scan_json(spark, path, schemas.FIXTURE_PAGE, documents=False)
@@ -292,6 +334,16 @@ INGEST_QUERIES: dict[str, Query] = {
     "odds_columns": _of(tpch.odds, scopes.odds_columns),
     "odds_count": _of(tpch.odds, lambda o: pk.count_rows(o, "n_odds")),
     "lines_per_market": _of(tpch.odds, scopes.lines_per_market),
+    "lines_per_market_by_day": _lines_by_day,
+    "odds_scope_by_sportsbook": _laid_out(_flat_odds, tables.create_odds_table, "odds_by_sportsbook", scopes.odds_scope),
+    "fixture_scope_by_month": _laid_out(
+        _flat_fixtures,
+        tables.create_fixture_table,
+        "fixtures_by_month",
+        lambda f: scopes.fixture_scope(
+            f, sport="tennis", start_date_after="1996-01-01 00:00:00", start_date_before="1996-03-01 12:00:00"
+        ),
+    ),
     "odds_json_scan": _landed(tpch.odds, "odds", lambda s, p: flat.flat_odds(landed.odds(s, p, documents=False))),
     "odds_payloads": _landed(
         tpch.odds_payloads, "payloads", lambda s, p: flat.flat_odds(landed.odds_payloads(s, p, documents=False))
@@ -402,13 +454,32 @@ def _reference_tables(spark: SparkSession, d: str) -> DataFrame:
     names = [place.rsplit("/", 1)[1].replace("-", "_") for place in places]
     tables.create_reference_tables(spark, *names, *places)
     load_jobs.load_reference(spark, *feeds, *names, top_only=True, documents=False)
-    stored = [spark.table(name).schema for name in names]
+    stored = [(spark.table(name).schema, tables.table_location(spark, name)) for name in names]
     for name in names:
         spark.sql(f"DROP TABLE {name}")  # external: only the catalog entry goes
-    competitions, seasons = (spark.read.schema(sc).parquet(p) for sc, p in zip(stored, places))
+    competitions, seasons = (spark.read.schema(schema).parquet(place) for schema, place in stored)
     return seasons.join(competitions.selectExpr("id AS competition_id", "level"), "competition_id")
 
 
+def _reference_reload(spark: SparkSession, d: str) -> DataFrame:
+    """Three loads of competitions into one table: most ids, a newer snapshot of some and of the rest, and an older one that changes nothing."""
+    rows = _competitions(spark, d)
+    place = scratch_dir(spark, "reloaded")
+    name = place.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_table_if_absent(spark, name, schemas.COMPETITIONS, place)
+    number = "CAST(substring_index(id, ':', -1) AS BIGINT)"
+    for moment, prefix, which in (
+        ("2026-01-11", "", "{n} % 10 <> 0"), ("2026-02-01", "newer ", "{n} % 10 = 0 OR {n} % 4 = 1"), ("2025-12-01", "older ", "{n} % 7 = 0 AND {n} % 10 <> 0")
+    ):
+        snapshot = rows.filter(which.format(n=number)).withColumns(
+            {"generated_at": F.lit(moment).cast("timestamp"), "name": F.concat(F.lit(prefix), "name")}
+        )
+        tables.upsert_rows(snapshot, name)
+    schema, location = spark.table(name).schema, tables.table_location(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # external: only the catalog entry goes
+    return spark.read.schema(schema).parquet(location)
+
+
 REFERENCE_QUERIES: dict[str, Query] = {
     "competition_flatten": _competitions,
     "competition_feed_scan": _landed(
@@ -430,6 +501,7 @@ REFERENCE_QUERIES: dict[str, Query] = {
     "season_orphans": lambda s, d: ref.orphan_seasons(_seasons(s, d), _competitions(s, d)),
     "season_top_tier": lambda s, d: load_jobs.main_reference(_competitions(s, d), _seasons(s, d), top_only=True)[1],
     "reference_tables": _reference_tables,
+    "reference_reload": _reference_reload,
     "reference_checks": lambda s, d: quality.reference_checks(_snapshots(s, d), _seasons(s, d)),
     "id_missing": _of(_snapshots, quality.missing_ids),
     "id_duplicates": _of(_snapshots, quality.repeated_ids),

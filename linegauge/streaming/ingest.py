@@ -1,12 +1,15 @@
 """Append-only streams from a landing folder of JSON files to the flat tables.
 
-Each micro-batch is appended by the same function as batch loads, so both may fill one table. Each landed file is read once; the checkpoint remembers
-which. Records are not de-duplicated by content. A crash between an append and its checkpoint entry repeats that micro-batch.
+Batch loads and streams may fill one table, which must have been created without a layout. Each landed file is read once; the checkpoint remembers
+which. A micro-batch that is tried again, also after a crash between its append and its checkpoint entry, is in the table once: it is
+known by the stream's id, which the checkpoint keeps, and its number. Records are not de-duplicated by content.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -14,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from linegauge.operators.flatten import flat_fixtures, flat_odds
 from linegauge.sources import schemas
-from linegauge.sources.tables import append_rows
+from linegauge.sources.tables import append_batch
 
 
 def landing_stream(
@@ -38,17 +41,26 @@ def _start(
     once: bool,
 ) -> StreamingQuery:
     rows = flatten(landing_stream(spark, landing, schema, documents, files_per_batch))
-    writer = rows.writeStream.option("checkpointLocation", checkpoint)
-    writer = writer.foreachBatch(lambda batch, _: _append(spark, batch, target))
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch_writer(spark, target, checkpoint))
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def _append(spark: SparkSession, batch: DataFrame, table: str) -> None:
-    append_rows(batch, table)
-    # A stream writes through a session of its own; the caller's would go on reading the files it knows.
-    spark.catalog.refreshTable(table)
+def batch_writer(spark: SparkSession, table: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """The function that a stream calls for each micro-batch."""
+
+    @cache
+    def stream_id() -> str:
+        # Spark writes the id when a query first starts, and keeps it as long as the checkpoint is there.
+        return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+
+    def write(batch: DataFrame, number: int) -> None:
+        append_batch(batch, table, stream_id(), number)
+        # A stream writes through a session of its own; the caller's would go on reading the files it knows.
+        spark.catalog.refreshTable(table)
+
+    return write
 
 
 def stream_odds(
