@@ -4,8 +4,8 @@ A conversation is the ordered array of its turns. The machine walks it once and
 turns each turn into segments of text with a loss flag, and the formatted text is all segments in order. Turns are never left out: a
 conversation in a wrong order is formatted like any other and marked ``valid = false``.
 
-Control strings inside texts (and role names) are made harmless by codes: a backslash, a hash sign and a less-than sign become a backslash and a
-letter, so formatted texts hold ``#`` and ``<`` in marks only, and the reader undoes the codes.
+Control strings inside texts and role names are made harmless by codes: a backslash, a hash sign and a less-than sign become a backslash and a
+letter, in role names a colon too, so formatted texts hold ``#`` and ``<`` in marks only, a role ends at its first colon, and the reader undoes the codes.
 
 Null text counts as empty and null role as the empty role, which no rule of the machine allows. Turns are ordered by turn (null first), then role, then
 text, so ties and repeated rows have one order; repeated rows are turns of their own. Rows of null conv_id are one conversation. An empty table gives no
@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CODES = (("\\", "\\s"), ("#", "\\h"), ("<", "\\l"))
+#: In role names, which end at a colon.
+ROLE_CODES = (*CODES, (":", "\\c"))
 
 
 @dataclass(frozen=True)
@@ -42,14 +44,14 @@ class Template:
 CHAT = Template()
 
 
-def escaped(text: Column) -> Column:
-    for plain, code in CODES:
+def escaped(text: Column, codes: tuple[tuple[str, str], ...] = CODES) -> Column:
+    for plain, code in codes:
         text = F.replace(text, F.lit(plain), F.lit(code))
     return text
 
 
-def unescaped(text: Column) -> Column:
-    for plain, code in reversed(CODES):
+def unescaped(text: Column, codes: tuple[tuple[str, str], ...] = CODES) -> Column:
+    for plain, code in reversed(codes):
         text = F.replace(text, F.lit(code), F.lit(plain))
     return text
 
@@ -85,7 +87,7 @@ def formatted(rows: DataFrame, template: Template = CHAT) -> DataFrame:
     )
 
     def segments(turn: Column) -> Column:
-        head = F.concat(F.lit(template.prefix), escaped(turn.role), F.lit(template.role_end))
+        head = F.concat(F.lit(template.prefix), escaped(turn.role, ROLE_CODES), F.lit(template.role_end))
         parts = [
             (head, F.lit(False)),
             (escaped(turn.text), turn.role.isin(*template.loss_roles)),
@@ -106,7 +108,7 @@ def read_back(rows: DataFrame, template: Template = CHAT) -> DataFrame:
         inside = F.substr(part, F.lit(len(template.prefix) + 1))
         role = F.substring_index(inside, template.role_end, 1)
         text = F.substr(inside, F.char_length(role) + F.lit(len(template.role_end) + 1))
-        return F.struct(unescaped(role).alias("role"), unescaped(text).alias("text"))
+        return F.struct(unescaped(role, ROLE_CODES).alias("role"), unescaped(text).alias("text"))
 
     under_loss = F.transform(F.filter("segments", lambda s: s.loss), lambda s: unescaped(s.text))
     return rows.select("*", F.transform(parts, turn).alias("turns"), F.array_join(under_loss, "").alias("loss_text"))
@@ -129,7 +131,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The twin works on the turns themselves: 4 + 2 + 8 code points of marks a turn, and one more for each escaped character.
+#: The twin works on the turns themselves: 4 + 2 + 8 code points of marks a turn, and one more for each escaped character, colons of roles included.
 OP6_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -142,7 +144,7 @@ SELECT conv_id,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(14 + length(role || text) + length(regexp_replace(role || text, '[^\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars,
+  CAST(sum(14 + length(role || text) + length(regexp_replace(role || text, '[^\\#<]', '', 'g')) + length(regexp_replace(role, '[^:]', '', 'g'))) AS BIGINT) AS formatted_chars,
   bool_and(CASE before WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant'
     WHEN 'assistant' THEN role = 'user' ELSE false END) AS valid
 FROM ordered GROUP BY conv_id

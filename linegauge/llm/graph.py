@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import stored
+from linegauge.llm.common import released, stored
 
 
+@released
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for each node of ``links`` (a, b): component is the smallest node reachable.
 

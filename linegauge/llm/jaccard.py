@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import documents, slices, stored
+from linegauge.llm.common import documents, released, slices, stored
 from linegauge.llm.graph import components
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -44,6 +44,8 @@ SMALL_ROWS = 500_000
 LEADER_TURNS = 2
 #: Rows of one query's lists that are merged in one go; larger queries are dealt out by candidate.
 MERGE_ROWS = 50_000
+#: Pairs of one query that are probed in one place.
+PROBE_PAIRS = 512
 _WEIGHTS = np.random.default_rng(77).integers(0, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -188,11 +190,20 @@ def short_lists(docs: DataFrame, sketch: np.ndarray, like: Likeness) -> DataFram
     return shared.drop("least", "most").distinct()
 
 
+def entry_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their lists have about ``MERGE_ROWS`` entries in all; no list is cut."""
+    for batch in batches:
+        group = np.cumsum(pc.list_value_length(batch.column("entries")).to_numpy(zero_copy_only=False), dtype=np.int64) // MERGE_ROWS
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(start, end - start)
+
+
 def merged(rows: DataFrame, least: int = 1) -> DataFrame:
     """Step 4: ``query, candidate, occurrences`` from ``query, token, candidate`` rows. The lists of a query are sorted and merged by a heap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in entry_slices(batches):
             found = []
             for query, entries in zip(batch.column("query").to_pylist(), batch.column("entries").to_pylist()):
                 lists = defaultdict(list)
@@ -254,30 +265,43 @@ def small_or_not(rows: DataFrame, small: DataFrame, *on: str) -> DataFrame:
 
 
 def probed(pairs: DataFrame, grams: DataFrame, like: Likeness) -> DataFrame:
-    """Step 5: the ``query, candidate`` pairs that link, as (a, b)."""
+    """Step 5: the ``query, candidate`` pairs that link, as (a, b).
+
+    Candidates are dealt out by query, those of a query with many of them to several deals. The query's own set comes first in each deal, once, and stays
+    at hand while the candidates' sets pass by one at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, own = None, None
         for batch in batches:
-            found, known = [], {}
-            columns = (batch.column(c).to_pylist() for c in ("query", "candidate", "of_query", "of_candidate"))
-            for query, candidate, of_query, of_candidate in zip(*columns):
-                if query not in known:
-                    known = {query: unpacked_grams(of_query)}
-                short, long = sorted((known[query], unpacked_grams(of_candidate)), key=len)
-                at = np.minimum(np.searchsorted(long, short), len(long) - 1)
-                if int((long[at] == short).sum()) >= like.required(len(short), len(long)):
-                    found.append((query, candidate))
-            columns = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+            for part in slices([batch], "grams"):
+                found = []
+                for query, candidate, data in zip(*(part.column(c).to_pylist() for c in ("query", "candidate", "grams"))):
+                    if candidate is None:
+                        asked, own = query, unpacked_grams(data)
+                        continue
+                    if query != asked:
+                        raise ValueError(f"the set of query {query} is missing")
+                    short, long = sorted((own, unpacked_grams(data)), key=len)
+                    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+                    if int((long[at] == short).sum()) >= like.required(len(short), len(long)):
+                        found.append((query, candidate))
+                columns = zip(*found) if found else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     pairs = stored(pairs.select("query", "candidate"), "pairs")
-    queries = stored(pairs.select("query").distinct(), "queries")
-    of_candidate = grams.select(F.col("node").alias("candidate"), F.col("grams").alias("of_candidate"))
-    of_query = grams.select(F.col("node").alias("query"), F.col("grams").alias("of_query"))
-    rows = small_or_not(of_candidate, pairs, "candidate").join(small_or_not(of_query, queries, "query"), "query")
-    return rows.mapInArrow(run, "a long, b long")
-
-
+    queries = pairs.groupBy("query").agg((F.count("*") / PROBE_PAIRS + 1).cast("int").alias("deals"))
+    queries = stored(queries.select(F.col("query").alias("node"), "deals"), "queries")
+    own = small_or_not(grams, queries, "node")
+    own = own.select(F.col("node").alias("query"), F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.lit(None).cast("long").alias("candidate"), "grams")
+    deals = F.pmod(F.xxhash64("candidate"), F.col("deals")).cast("int").alias("deal")
+    dealt = pairs.join(queries.withColumnRenamed("node", "query"), "query").select("query", deals, F.col("candidate").alias("node"))
+    rows = small_or_not(grams, stored(dealt, "pairs-dealt"), "node").select("query", "deal", F.col("node").alias("candidate"), "grams")
+    together = own.unionByName(rows).repartition("query", "deal").sortWithinPartitions("query", "deal", F.asc_nulls_first("candidate"))
+    return together.select("query", "candidate", "grams").mapInArrow(run, "a long, b long")
+
+
+@released
 def links_and_sets(docs: DataFrame, like: Likeness, nameless: bool = False) -> tuple[DataFrame, DataFrame]:
     """``sets`` (doc_id, mark, n, s1, s2) of all rows and ``labels`` (s1, s2, component, first) of the sets that have links.
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import documents, slices, stored
+from linegauge.llm.common import documents, released, slices, stored
 from linegauge.llm.graph import components
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -121,6 +121,7 @@ def met(rows: DataFrame) -> DataFrame:
     return far.join(near, "place").where("a != fp").select("a", F.col("fp").alias("b")).distinct()
 
 
+@released
 def links_of(nodes: DataFrame, hot: int = HOT) -> DataFrame:
     """``a, b``: links enough to connect all fingerprints that links connect."""
     shared = stored(shared_variants(nodes), "shared-variants")

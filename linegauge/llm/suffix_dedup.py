@@ -12,10 +12,11 @@ A byte goes when it lies in a ``SPAN``-byte string that starts anywhere else too
 4. Repeated strings go back to their texts as spans, which are united and cut out.
 
 Repeated phrases are counted per task before they are shuffled. A trigger with more than ``HOT`` distinct phrases is compared by grouping single strings
-instead of one group per trigger bucket, so no trigger has to fit in a task. What is attached to a text is bounded by its length.
+instead of one group per trigger bucket, so no trigger has to fit in a task. Rows of equal doc_id and text share one set of spans, in which each span
+is once, and their phrases are read from one of them, so what is attached to a text is bounded by its length however often the row is there.
 
 Texts are UTF-8 bytes; null counts as empty and stays as it is in ``without_repeats``. Texts below ``SPAN`` bytes lose nothing. Texts are told apart by doc_id
-and a hash of the text, so null and repeated doc_ids work; a row that is there twice is repeated as a whole. An empty table gives no rows.
+and a 64-bit hash of the text, so null and repeated doc_ids work; a row that is there twice is repeated as a whole. An empty table gives no rows.
 Columns other than doc_id and text are passed on by ``without_repeats``. Equal hashes are taken as equal strings (64 bits, and 64 of the trigger).
 """
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import documents, slices, stored
+from linegauge.llm.common import documents, released, slices, stored
 from linegauge.llm.phrases import hashes, phrases
 
 SPAN = 200
@@ -37,14 +38,14 @@ HOT = 20_000
 #: Distinct phrases that one task compares, on average.
 BUCKET_PHRASES = 20_000
 
-PARSE = "doc_id long, mark int, start int, count int, at int, key long, digest long"
-FOUND = "doc_id long, mark int, start int, count int"
+PARSE = "doc_id long, mark long, start int, count int, at int, key long, digest long"
+FOUND = "doc_id long, mark long, start int, count int"
 
 
 def marked(docs: DataFrame) -> DataFrame:
     """``doc_id, mark, text``: the mark is a hash that tells rows of equal doc_id apart."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.hash(text).alias("mark"), text.alias("text"))
+    return docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
 def _laid_out(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,6 +84,17 @@ def attached(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return docs.join(lists, same, how).drop("list_id", "list_mark")
 
 
+def once(docs: DataFrame, parsed: DataFrame) -> DataFrame:
+    """``docs`` with one of the rows of equal doc_id and text. Such rows are few or have few texts, so only these are grouped, and combine before the shuffle."""
+    again = parsed.where("start = 0").groupBy("doc_id", "mark").agg(F.count("*").alias("n")).where("n > 1")
+    again = stored(again.select(F.col("doc_id").alias("again_id"), F.col("mark").alias("again_mark")), "again")
+    if not again.limit(1).count():
+        return docs
+    same = docs["doc_id"].eqNullSafe(again["again_id"]) & (docs["mark"] == again["again_mark"])
+    repeated = docs.join(again, same, "left_semi").groupBy("doc_id", "mark").agg(F.first("text").alias("text"))
+    return docs.join(again, same, "left_anti").unionByName(repeated)
+
+
 def contents(docs: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
     """The bytes of the ``wanted`` phrases (rows of the parse with ``single``), read from their texts."""
     entry = F.struct("start", "count", "at", "key", "single", "hot")
@@ -100,7 +112,7 @@ def contents(docs: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
     return attached(docs, lists, "inner").mapInArrow(run, CONTENT)
 
 
-CONTENT = "doc_id long, mark int, start int, count int, at int, key long, single boolean, hot boolean, content binary"
+CONTENT = "doc_id long, mark long, start int, count int, at int, key long, single boolean, hot boolean, content binary"
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
 CONTENT_ARROW = pa.schema([(f.split()[0], _KINDS[f.split()[1]]) for f in CONTENT.split(", ")])
 
@@ -156,12 +168,13 @@ def compared_one_by_one(rows: DataFrame, span: int) -> DataFrame:
             columns = [table[c].combine_chunks().take(of) for c in ("doc_id", "mark", "key", "single")]
             yield pa.RecordBatch.from_arrays([*columns, start, pa.array(made.view(np.int64))], ["doc_id", "mark", "key", "single", "start", "made"])
 
-    strings = stored(rows.mapInArrow(run, "doc_id long, mark int, key long, single boolean, start int, made long"), "strings")
+    strings = stored(rows.mapInArrow(run, "doc_id long, mark long, key long, single boolean, start int, made long"), "strings")
     repeated = strings.groupBy("key", "made").agg(F.count("*").alias("n")).where("n > 1").select("key", "made")
     hit = strings.where("single").join(repeated, ["key", "made"])
     return hit.select("doc_id", "mark", "start", F.lit(1).alias("count"))
 
 
+@released
 def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = HOT) -> DataFrame:
     """``doc_id, mark, entries (start, count)`` of ``marked`` rows: places at which repeated strings begin, as runs. Stored."""
     parsed = stored(parse(docs, span), "parse")
@@ -178,10 +191,10 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = HOT) -> DataFra
     several = dictionary.where("several")
     crowded = several.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("key", F.lit(True).alias("hot"))
     wanted = several.join(crowded, "key", "left").select("some.*", "key", (F.col("n") == 1).alias("single"), F.coalesce("hot", F.lit(False)).alias("hot"))
-    rows = stored(contents(docs, wanted, span), "phrase-bytes")
+    rows = stored(contents(once(docs, parsed), wanted, span), "phrase-bytes")
     buckets = several.count() // BUCKET_PHRASES + 1
     parts = whole.unionByName(compared(rows.where("NOT hot"), span, buckets)).unionByName(compared_one_by_one(rows.where("hot"), span))
-    return stored(parts.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "count")).alias("entries")), "spans")
+    return stored(parts.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "count")).alias("entries")), "spans")
 
 
 def _cut(text: bytes, entries: list | None, span: int) -> tuple[bytes, int, int]:
@@ -226,7 +239,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(fields | {"text": pa.array(made, pa.string())}).values()], names)
 
     # As a struct, the document's columns cannot clash with others.
-    rows = docs.select(F.struct(*names).alias("row"), "doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("mark"))
+    rows = docs.select(F.struct(*names).alias("row"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
     return attached(rows, spans, "left").select("row", "entries", "row.text").mapInArrow(run, docs.schema)
 
 

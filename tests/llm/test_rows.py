@@ -172,20 +172,30 @@ def test_chat_is_read_back(spark):
         turns = []
         for turn in range(rnd.randint(1, 6)):
             text = "".join(rnd.choice(marks) for _ in range(rnd.randint(0, 8)))
-            turns.append((rnd.choice(["user", "assistant", "system", "tool: #"]), text))
+            turns.append((rnd.choice(["user", "assistant", "system", "tool: #", "tool: search", "a</turn>b", "\\c:", ":", "### "]), text))
             rows.append((conv, turn, *turns[-1], "v", 1, 2))
         expected[conv] = turns
     rnd.shuffle(rows)
     found = chat.read_back(chat.formatted(conversation(spark, rows).repartition(4))).collect()
     for r in found:
         turns = expected[r.conv_id]
-        # A role that holds the end mark of a role cannot be told from its text; what is read back is still the same characters.
-        assert "".join(f"{a}: {b}" for a, b in turns) == "".join(f"{t.role}: {t.text}" for t in r.turns)
+        assert [(t.role, t.text) for t in r.turns] == turns
         assert r.loss_text == "".join(b for a, b in turns if a == "assistant")
         assert r.formatted == "".join(s.text for s in r.segments)
     assert len(found) == 60
 
 
+def test_chat_twin_counts_the_marks_of_roles(spark, tmp_path):
+    rows = [(1, 0, "tool: search", "hi"), (1, 1, "a</turn>b", "x: # <"), (2, 0, "user", "b"), (2, 1, "assistant", ": \\")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    found = registry.QUERIES["op6_chat"](spark, str(tmp_path))
+    twin = con.execute(registry.ORACLES["op6_chat"])
+    at = [found.columns.index(c[0]) for c in twin.description]
+    assert sorted(twin.fetchall()) == sorted(tuple(r[i] for i in at) for r in found.collect())
+
+
 def test_chat_order_and_gaps(spark):
     rows = [
         (1, 0, "system", "s"), (1, 1, "user", None), (1, 2, "assistant", ""), (2, 0, "assistant", "a"), (3, 0, "user", "a"), (3, 1, "user", "b"),

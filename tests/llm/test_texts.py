@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linegauge.llm import common, graph, jaccard, repetition, suffix_dedup
-from odd_rows import nothing, odd  # noqa: F401
+from odd_rows import nothing, odd, prose  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -229,6 +229,39 @@ def test_repeated_strings_go(odd, monkeypatch, hot, span):
     assert got == brute_cut([(r.doc_id, (r.text or "").encode()) for r in odd.collect()], span)
 
 
+def cut_like_brute(spark, rows, span=200):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    docs = suffix_dedup.marked(df)
+    spans = suffix_dedup.repeated_spans(docs, span)
+    made = suffix_dedup.cut_texts(docs, spans, span).collect()
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in made)
+    return got == brute_cut([(d, (t or "").encode()) for d, t in rows], span), spans
+
+
+def test_texts_of_one_doc_id_with_a_short_hash_in_common(spark):
+    """Two texts without doc_id whose 32-bit hashes are equal, one of them shorter than the spans of the other."""
+    many = spark.range(0, 200_000).selectExpr("id", "concat(repeat(concat('w', id, ' '), CASE WHEN id % 2 = 0 THEN 30 ELSE 120 END), 'end') AS text")
+    twice = many.groupBy(F.hash("text").alias("h")).agg(F.count("*").alias("n"), F.min(F.struct(F.length("text"), "text")).alias("a"), F.max(F.struct(F.length("text"), "text")).alias("b"))
+    pair = twice.where("n > 1").orderBy(F.expr("length(a.text) - length(b.text)")).first()
+    short, long = pair.a.text, pair.b.text
+    assert short != long
+    right, _ = cut_like_brute(spark, [(None, short), (None, long), (5, long), (None, "unlike " * 40)])
+    assert right
+
+
+def test_many_equal_rows_stay_linear(spark):
+    """2,000 rows of one null-id text share one set of spans, each span once; the phrases of one of them are read."""
+    rnd = random.Random(6)
+    base, other = prose(rnd, 150), prose(rnd, 40)
+    page = f"{base} {other} {base[:400]}"
+    rows = [(None, page)] * 2000 + [(1, f"{prose(rnd, 60)} {base} {prose(rnd, 60)}"), (2, prose(rnd, 300))]
+    right, spans = cut_like_brute(spark, rows)
+    assert right
+    assert max(len(r.entries) for r in spans.collect()) < len(page)
+    docs = suffix_dedup.marked(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert suffix_dedup.once(docs, suffix_dedup.parse(docs, 200)).count() == 3
+
+
 def test_texts_without_repeats(odd):
     made = suffix_dedup.without_repeats(odd)
     assert made.schema == odd.schema and made.count() == odd.count()
@@ -249,3 +282,17 @@ def test_slices_cut_no_row():
     parts = list(common.slices([batch, batch.slice(0, 0)], limit=12))
     assert [k for p in parts for k in p.column("k").to_pylist()] == [1, 2, 3, 4, 5]
     assert len(parts) == 2
+
+
+def test_scratch_of_finished_steps_is_removed(spark, odd, tmp_path, monkeypatch):
+    """What the result does not read is gone; the result can still be computed, twice."""
+    count = iter(range(1000))
+    monkeypatch.setattr(common, "scratch_dir", lambda _, label: f"{tmp_path}/{label}.{next(count)}")
+    left = lambda: sorted(p.name.split(".")[0] for p in tmp_path.iterdir())
+    docs = suffix_dedup.marked(odd)
+    spans = suffix_dedup.repeated_spans(docs)
+    assert left() == ["spans"]
+    assert sorted(map(str, spans.collect())) == sorted(map(str, spans.collect()))
+    sets, labels = jaccard.links_and_sets(odd, jaccard.Likeness())
+    assert left() == ["labels", "nodes", "sets", "spans"]
+    assert labels.count() == labels.count() > 0 and sets.count() == odd.count()
