@@ -133,25 +133,34 @@ def calibration_metrics(percentile_rows: DataFrame, groups: Sequence[str]) -> Da
 
 
 def small_groups(freq: DataFrame, groups: Sequence[str], min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
-    """Groups with too few rows to be calibrated, and their rows."""
-    counted = segment_sigma(freq, groups).filter(F.col("n_scored") + F.col("n_unscored") < min_rows)
-    return counted.select(*groups, F.col("n_scored").alias("n"), "n_unscored")
+    """Groups with too few rows to be calibrated, and their rows: ``n`` with a line and a score, ``n_unscored`` others."""
+    counted = freq.groupBy(*groups).agg(*exprs(f"sum(CASE WHEN {HAS_BOTH} THEN n ELSE 0L END) AS n", "sum(n) AS __rows"))
+    return counted.filter(f"__rows < {min_rows}").selectExpr(*groups, "n", "__rows - n AS n_unscored")
+
+
+def with_small_groups(rows: DataFrame, freq: DataFrame, groups: Sequence[str], min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
+    """A report on large enough groups, ``enough`` true, and one row with ``enough`` false and no figures for each of the others; ``n`` and
+    ``n_unscored`` are filled in where the report has them."""
+    small = small_groups(freq, groups, min_rows).withColumn("enough", F.lit(False))
+    small = small.select(*(c for c in small.columns if c in [*rows.columns, "enough"]))
+    return rows.withColumn("enough", F.lit(True)).unionByName(small, allowMissingColumns=True)
 
 
 def evaluate_segmentation(freq: DataFrame, groups: Sequence[str], min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
-    """Rows, deviation and calibration error per segment of one or several segmentations."""
+    """Rows, deviation and calibration error per segment of one or several segmentations; ``with_small_groups``."""
     rows = percentiles(freq, groups, min_rows=min_rows)
-    return (
+    evaluated = (
         rows.groupBy(*groups)
         .agg(*exprs("sum(n) AS n", "max(sigma) AS std"), *_bin_shares())
         .selectExpr(*groups, "n", "std", MACE)
     )
+    return with_small_groups(evaluated, freq, groups, min_rows)
 
 
 def row_weighted_mace(belongs: str = "true") -> str:
     """Aggregate over evaluated segments: error weighted by rows; infinity when no segment qualified."""
-    total = f"sum(CASE WHEN {belongs} THEN mace * n END)"
-    rows = f"nullif(sum(CASE WHEN {belongs} THEN n END), 0)"
+    total = f"sum(CASE WHEN {belongs} AND enough THEN mace * n END)"
+    rows = f"nullif(sum(CASE WHEN {belongs} AND enough THEN n END), 0)"
     return f"coalesce({total} / {rows}, double('Infinity'))"
 
 

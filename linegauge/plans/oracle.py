@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from linegauge.functions import normal
-from linegauge.plans.registry import CUT, FANTASY, FORMAT, GAMES, ONE_LINE, PLAYER, SIGMA_OVERRIDE
+from linegauge.plans.registry import FANTASY, FORMAT, GAMES, ONE_LINE, PLAYER, SIGMA_OVERRIDE, SMALL
 from linegauge.sources import fixed_values as fixed
 
 # Written out, so that the twins do not share a mistake with the library.
@@ -64,7 +64,7 @@ def wanted(profile) -> str:
 
 
 def study(profile=None) -> str:
-    cut = f" AND created_at_est > TIMESTAMP '{CUT}'" if profile and profile.created_after else ""
+    cut = f" AND created_at_est > TIMESTAMP '{profile.created_after}'" if profile and profile.created_after else ""
     tests = wanted(profile) if profile else "true"
     return f"""{PICKS}, ranked AS (
   SELECT *, row_number() OVER (
@@ -201,6 +201,8 @@ st AS (
   UNION ALL SELECT 'Quartiles', 2, 'Q' || s4, s4, line, score FROM seg JOIN numbered USING (line)
   UNION ALL SELECT 'Deciles', 3, 'D' || d10, d10, line, score FROM seg JOIN numbered USING (line)),
 sig AS (SELECT strategy, segment, stddev_samp(score) AS std FROM st GROUP BY ALL HAVING count(*) >= 10),
+few AS (SELECT strategy, strategy_order, segment, segment_order, count(*) FILTER (score IS NOT NULL AND line IS NOT NULL) AS n
+  FROM st GROUP BY ALL HAVING count(*) < 10),
 pct AS ({phi(rows)}), {bins('strategy, strategy_order, segment, segment_order, std')},
 ev AS (SELECT strategy, strategy_order, segment, CAST(segment_order AS INTEGER) AS segment_order, max(n) AS n, std,
          avg(abs(share - 0.1e0)) AS mace FROM shares GROUP BY ALL)"""
@@ -266,10 +268,15 @@ def segment_histogram(profile, limit) -> str:
     return f"{segmented(profile)}, {histogram_ctes(rows, 'segment', 'max(segment_order) AS segment_order,', 30)}"
 
 
+def small(columns: str) -> str:
+    """Segments of fewer than ten rows, without figures."""
+    return f"UNION ALL SELECT segment, segment_order, {columns}, false FROM seg GROUP BY segment, segment_order HAVING count(*) < 10"
+
+
 def score_histogram(profile, limit) -> str:
     return f"""WITH {segment_histogram(profile, limit)}
 SELECT k AS segment, segment_order, bin, {r('bin_low', 'bin_low')}, {r('bin_high', 'bin_high')}, count,
-  {r('count / (total * (bin_high - bin_low))', 'density')} FROM hist"""
+  {r('count / (total * (bin_high - bin_low))', 'density')}, true AS enough FROM hist {small('NULL, NULL, NULL, NULL, NULL')}"""
 
 
 def expected_density() -> str:
@@ -289,7 +296,15 @@ SELECT segment, segment_order, line, count(*) AS n, {r('line - sigma', 'low1')},
   {r('line - 2 * sigma', 'low2')}, {r('line + 2 * sigma', 'high2')},
   {r('avg(CASE WHEN abs(v - line) <= sigma THEN 1e0 ELSE 0e0 END)', 'inside1')},
   {r('avg(CASE WHEN abs(v - line) <= 2 * sigma THEN 1e0 ELSE 0e0 END)', 'inside2')}
-FROM c JOIN sig USING (segment) WHERE v IS NOT NULL GROUP BY segment, segment_order, line, sigma"""
+  , true AS enough
+FROM c JOIN sig USING (segment) WHERE v IS NOT NULL GROUP BY segment, segment_order, line, sigma
+{small('NULL, count(*) FILTER (score IS NOT NULL AND line IS NOT NULL), NULL, NULL, NULL, NULL, NULL, NULL')}"""
+
+
+def line_score_pairs(profile) -> str:
+    return f"""WITH {segmented(profile)} SELECT segment, segment_order, line, v AS score, count(*) AS n, true AS enough
+      FROM (SELECT *, {capped(33.0)} AS v FROM seg WHERE score IS NOT NULL) JOIN (SELECT segment FROM seg GROUP BY segment HAVING count(*) >= 10)
+        USING (segment) GROUP BY ALL {small('NULL, NULL, count(*) FILTER (score IS NOT NULL AND line IS NOT NULL)')}"""
 
 
 def player_lines() -> str:
@@ -399,7 +414,7 @@ ORACLES: dict[str, str] = {
     "pick_table": f"WITH {PICKS} SELECT {ALL_COLUMNS} FROM picks",
     "pick_filter": f"WITH {PICKS} SELECT {ALL_COLUMNS} FROM picks WHERE {wanted(GAMES)}",
     "pick_filter_by_stat_name": f"WITH {PICKS} SELECT {ALL_COLUMNS} FROM picks WHERE {wanted(FORMAT)}",
-    "pick_recent": f"WITH {PICKS} SELECT {ALL_COLUMNS} FROM picks WHERE created_at_est > TIMESTAMP '{CUT}'",
+    "pick_recent": f"WITH {PICKS} SELECT {ALL_COLUMNS} FROM picks WHERE created_at_est > TIMESTAMP '{GAMES.created_after}'",
     "pick_latest": f"WITH {study(GAMES)} SELECT {KEPT_COLUMNS} FROM study",
     "pick_latest_fantasy": f"WITH {study(FANTASY)} SELECT {KEPT_COLUMNS} FROM study",
     "pick_latest_format": f"WITH {study(FORMAT)} SELECT {KEPT_COLUMNS} FROM study",
@@ -430,11 +445,17 @@ ORACLES: dict[str, str] = {
     "quartile_buckets": buckets(4, "Q"),
     "decile_buckets": buckets(10, "D"),
     "segmentation_eval": f"""WITH {evaluated()} SELECT strategy, strategy_order, segment, segment_order, n, {r('std', 'std')},
-      {r('mace', 'mace')} FROM ev""",
+      {r('mace', 'mace')}, true AS enough FROM ev
+      UNION ALL SELECT strategy, strategy_order, segment, segment_order, n, NULL, NULL, false FROM few""",
+    "segmentation_eval_small": f"""WITH {calibrated(SMALL)}, {bins('segment, segment_order, sigma')}
+      SELECT segment, segment_order, max(n) AS n, {r('sigma', 'std')}, {r('avg(abs(share - 0.1e0))', 'mace')}, true AS enough
+      FROM shares GROUP BY segment, segment_order, sigma
+      {small('count(*) FILTER (score IS NOT NULL AND line IS NOT NULL), NULL, NULL')}""",
     "segmentation_mace": f"""WITH {evaluated()} SELECT {r('sum(mace * n) / sum(n)', 'weighted_mace')} FROM ev
       WHERE strategy = '3-Segment'""",
-    "strategy_compare": f"""WITH {evaluated()}, w AS (SELECT strategy, strategy_order, sum(mace * n) / sum(n) AS wm FROM ev GROUP BY ALL)
-      SELECT strategy, strategy_order, {r('wm', 'weighted_mace')},
+    "strategy_compare": f"""WITH {evaluated()}, w AS (SELECT strategy, strategy_order, sum(mace * n) / sum(n) AS wm, CAST(sum(n) AS BIGINT) AS n FROM ev GROUP BY ALL)
+      SELECT strategy, strategy_order, {r('wm', 'weighted_mace')}, n,
+        (SELECT CAST(coalesce(sum(few.n), 0) AS BIGINT) FROM few WHERE few.strategy = w.strategy) AS n_small,
         row_number() OVER (ORDER BY wm, strategy_order) = 1 AS is_best FROM w""",
     "line_calibration": f"WITH {line_calibration()} SELECT {LINE_CALIBRATION_COLUMNS} FROM labelled",
     "worst_lines": f"""WITH {line_calibration()}, top AS (SELECT * FROM labelled ORDER BY distance_from_calibrated DESC, line LIMIT 10)
@@ -455,9 +476,9 @@ ORACLES: dict[str, str] = {
     "expected_density": expected_density(),
     "spread_bands": spread_bands(GAMES),
     "spread_bands_format": spread_bands(FORMAT),
-    "line_score_pairs": f"""WITH {segmented(GAMES)} SELECT segment, segment_order, line, v AS score, count(*) AS n
-      FROM (SELECT *, {capped(33.0)} AS v FROM seg WHERE score IS NOT NULL) JOIN (SELECT segment FROM seg GROUP BY segment HAVING count(*) >= 10)
-        USING (segment) GROUP BY ALL""",
+    "line_score_pairs": line_score_pairs(GAMES),
+    "line_score_pairs_small": line_score_pairs(SMALL),
+    "score_histogram_small": score_histogram(SMALL, 33.0),
     "line_classes": f"""WITH {line_summary(FANTASY)}, g AS (SELECT line, n, med, CASE WHEN med - line < -0.5e0 THEN 'below'
         WHEN med - line > 0.5e0 THEN 'above' ELSE 'calibrated' END AS line_class FROM ls)
       SELECT line, n, {r('med', 'median_actual')}, line_class,

@@ -73,8 +73,7 @@ def segment_percentiles(freq: DataFrame, profile: Profile, sigma_override: cal.S
 def metrics(freq: DataFrame, profile: Profile, sigma_override: cal.SigmaOverride = None) -> DataFrame:
     """Metrics of each segment; one with too few rows is listed too, without metrics and with ``enough`` false."""
     rows = cal.calibration_metrics(segment_percentiles(freq, profile, sigma_override), SEGMENT)
-    small = cal.small_groups(freq, SEGMENT, profile.min_segment_rows).withColumn("enough", F.lit(False))
-    return rows.withColumn("enough", F.lit(True)).unionByName(small, allowMissingColumns=True)
+    return cal.with_small_groups(rows, freq, SEGMENT, profile.min_segment_rows)
 
 
 STRATEGIES = ("3-Segment", "Quartiles", "Deciles")
@@ -123,20 +122,42 @@ def strategy_segments(freq: DataFrame, profile: Profile) -> DataFrame:
 def compare_strategies(freq: DataFrame, profile: Profile) -> DataFrame:
     """Weighted calibration error per strategy; ``is_best`` marks the lowest, the first listed one on ties.
 
-    A strategy without a qualifying segment has infinite error.
+    ``n`` rows were compared; ``n_small`` scored rows lie in segments that are too small and were left out. A strategy without a qualifying segment has
+    infinite error.
     """
     evaluated = strategy_segments(freq, profile)
     names = list(enumerate(STRATEGIES, 1))
-    totals = evaluated.agg(*exprs(*[f"{cal.row_weighted_mace(f'strategy_order = {k}')} AS mace_{k}" for k, _ in names]))
-    entries = ", ".join(f"struct(mace_{k} AS weighted_mace, {k} AS strategy_order, '{s}' AS strategy)" for k, s in names)
+    of = lambda k, test: f"coalesce(sum(CASE WHEN strategy_order = {k} AND {test} THEN n END), 0L)"
+    totals = evaluated.agg(
+        *exprs(
+            *[f"{cal.row_weighted_mace(f'strategy_order = {k}')} AS mace_{k}" for k, _ in names],
+            *[f"{of(k, test)} AS {name}_{k}" for k, _ in names for name, test in (("n", "enough"), ("small", "NOT enough"))],
+        )
+    )
+    entries = ", ".join(
+        f"struct(mace_{k} AS weighted_mace, {k} AS strategy_order, '{s}' AS strategy, n_{k} AS n, small_{k} AS n_small)" for k, s in names
+    )
     listed = totals.selectExpr(f"array_min(array({entries})).strategy_order AS best", f"inline(array({entries}))")
-    return listed.selectExpr("strategy", "strategy_order", "weighted_mace", "strategy_order = best AS is_best")
+    return listed.selectExpr("strategy", "strategy_order", "weighted_mace", "n", "n_small", "strategy_order = best AS is_best")
 
 
 def line_calibration(freq: DataFrame, profile: Profile) -> DataFrame:
     return cal.line_calibration(segment_percentiles(freq, profile), profile.min_line_rows)
 
 
+def listed(freq: DataFrame, rows: DataFrame, profile: Profile) -> DataFrame:
+    """Rows of a report by segment, and the segments that are too small for it."""
+    return cal.with_small_groups(rows, freq, SEGMENT, profile.min_segment_rows)
+
+
+def spread_bands(freq: DataFrame, profile: Profile) -> DataFrame:
+    return listed(freq, dist.spread_bands(freq, SEGMENT, profile.distribution_cap, profile.min_segment_rows), profile)
+
+
+def line_score_pairs(freq: DataFrame, profile: Profile) -> DataFrame:
+    return listed(freq, dist.line_score_pairs(freq, SEGMENT, profile.distribution_cap, profile.min_segment_rows), profile)
+
+
 def report(picks: DataFrame, profile: Profile) -> dict[str, DataFrame]:
     """All tables of a study from one cached frequency table (some thousand rows), which is among them."""
     freq = segmented_frequency(picks, profile).persist()
@@ -154,10 +175,10 @@ def report(picks: DataFrame, profile: Profile) -> dict[str, DataFrame]:
         "line_calibration": line_calibration(freq, profile),
         "strategy_segments": strategy_segments(freq, profile),
         "strategy_compare": compare_strategies(freq, profile),
-        "score_histogram": hist,
+        "score_histogram": listed(freq, hist, profile),
         "expected_density": dist.expected_density(hist, SEGMENT),
-        "spread_bands": dist.spread_bands(freq, SEGMENT, profile.distribution_cap, profile.min_segment_rows),
-        "line_score_pairs": dist.line_score_pairs(freq, SEGMENT, profile.distribution_cap, profile.min_segment_rows),
+        "spread_bands": spread_bands(freq, profile),
+        "line_score_pairs": line_score_pairs(freq, profile),
     }
     tables["worst_lines"] = cal.worst_lines(tables["line_calibration"])
     if profile.distribution_cap is not None:

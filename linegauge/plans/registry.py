@@ -31,6 +31,7 @@ CUT = "2000-01-01 00:00:00"
 GAMES = replace(pr.GAMES, created_after=CUT)
 FANTASY = replace(pr.FANTASY, created_after=CUT)
 FORMAT = pr.FORMAT
+SMALL = replace(pr.GAMES, created_after="2001-09-15 00:00:00")
 SIGMA_OVERRIDE = {"Bo3_lopsided": 5.0, "Bo3_underdog": 3.0, "Ambiguous": 0.0}
 PLAYER = "NATION_7"
 ONE_LINE = 11.5
@@ -185,17 +186,16 @@ def _histogram(profile: pr.Profile) -> Callable[[DataFrame], DataFrame]:
 
 
 def _bands(profile: pr.Profile) -> Query:
-    return _of_freq(
-        profile, lambda f: dist.spread_bands(f, pr.SEGMENT, profile.distribution_cap, profile.min_segment_rows)
-    )
+    return _of_freq(profile, lambda f: pr.spread_bands(f, profile))
 
 
 def _ranges(profile: pr.Profile) -> Query:
     return _of_freq(profile, lambda f: dist.range_summary(seg.with_range(f, profile.ranges)))
 
 
-def _histogram_columns(rows: DataFrame) -> DataFrame:
-    return rows.select("segment", "segment_order", "bin", "bin_low", "bin_high", "count", "density")
+def _listed_histogram(profile: pr.Profile, freq: DataFrame) -> DataFrame:
+    columns = ["segment", "segment_order", "bin", "bin_low", "bin_high", "count", "density"]
+    return pr.listed(freq, _histogram(profile)(freq).select(*columns), profile)
 
 
 DISTRIBUTION_QUERIES: dict[str, Query] = {
@@ -207,15 +207,17 @@ DISTRIBUTION_QUERIES: dict[str, Query] = {
     "range_segments": _ranges(GAMES),
     "range_segments_fantasy": _ranges(FANTASY),
     "bad_scores": _of_freq(GAMES, lambda f: dist.scores_above(f, GAMES.distribution_cap)),
-    "score_histogram": _of_freq(GAMES, lambda f: _histogram_columns(_histogram(GAMES)(f))),
-    "score_histogram_capped": _of_freq(
-        GAMES, lambda f: _histogram_columns(dist.score_histogram(f, pr.SEGMENT, 15.0))
-    ),
-    "score_histogram_format": _of_freq(FORMAT, lambda f: _histogram_columns(_histogram(FORMAT)(f))),
+    "score_histogram": _of_freq(GAMES, lambda f: _listed_histogram(GAMES, f)),
+    "score_histogram_capped": _of_freq(GAMES, lambda f: _listed_histogram(replace(GAMES, distribution_cap=15.0), f)),
+    "score_histogram_format": _of_freq(FORMAT, lambda f: _listed_histogram(FORMAT, f)),
+    # One week of picks: some segments have fewer than ten rows and are listed as such.
+    "score_histogram_small": _of_freq(SMALL, lambda f: _listed_histogram(SMALL, f)),
+    "segmentation_eval_small": _of_freq(SMALL, lambda f: cal.evaluate_segmentation(f, pr.SEGMENT, SMALL.min_segment_rows)),
+    "line_score_pairs_small": _of_freq(SMALL, lambda f: pr.line_score_pairs(f, SMALL)),
     "expected_density": _of_freq(GAMES, lambda f: dist.expected_density(_histogram(GAMES)(f), pr.SEGMENT)),
     "spread_bands": _bands(GAMES),
     "spread_bands_format": _bands(FORMAT),
-    "line_score_pairs": _of_freq(GAMES, lambda f: dist.line_score_pairs(f, pr.SEGMENT, GAMES.distribution_cap)),
+    "line_score_pairs": _of_freq(GAMES, lambda f: pr.line_score_pairs(f, GAMES)),
     "line_classes": _of_freq(FANTASY, lambda f: dist.line_classes(_lines(FANTASY)(f))),
 }
 
