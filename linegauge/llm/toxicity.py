@@ -107,13 +107,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``doc_id, text, toxic``: at most ``rows`` labelled rows outside the held-out fifth."""
+    """``doc_id, text, toxic``: at most ``rows`` labelled rows outside the held-out fifth. A repeated doc_id gives one row, of its least text."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # The sample is bounded by ``rows``, whatever the size of the tables.
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    # Of the texts of a repeated doc_id the least one is taken, so that every run trains on the same rows.
+    return texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
 
 
 def learned_lexicon(sample: DataFrame) -> list[str]:

@@ -301,6 +301,15 @@ def test_toxicity_on_held_out_rows(spark, tables):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def test_a_repeated_doc_id_trains_on_its_least_text(spark):
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    rows = [(i, f"{c} text {i}") for c in "bac" for i in range(20)]
+    for parts in (1, 5):
+        sample = toxicity.training_sample(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), labels)
+        assert sample.columns == ["doc_id", "text", "toxic"]
+        assert {r.text for r in sample.collect()} == {f"a text {r.doc_id}" for r in sample.collect()} and sample.count() > 10
+
+
 def test_sample_leaves_the_held_out_fifth_alone(tables):
     import zlib
 
