@@ -6,12 +6,15 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from conftest import DATA
 from linegauge.llm import chat, licenses, nearest, registry, toxicity
 from odd_rows import nothing, odd  # noqa: F401
+from test_texts import brute_classes, brute_cut
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
@@ -340,7 +343,7 @@ def test_features():
 
 def test_pipeline_stages(spark, tables):
     import corpus_pipeline as pipeline
-    from linegauge.llm import jaccard, repetition, suffix_dedup
+    from linegauge.llm import repetition
     from linegauge.llm.common import stored
 
     docs, labels = tables
@@ -357,13 +360,18 @@ def test_pipeline_stages(spark, tables):
     ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
     assert ids(seen[0][2]) == ids(docs) - toxic
     assert ids(seen[1][2]) == {r.doc_id for r in repetition.quality(seen[1][1]).where("kept").collect()}
-    assert ids(seen[2][2]) == {r.doc_id for r in jaccard.classes(seen[2][1]).where("doc_id = component_id").collect()}
-    marked = suffix_dedup.marked(seen[3][1])
-    left = {r.doc_id: bytes(r.kept).decode(errors="ignore") for r in suffix_dedup.cut_texts(marked, suffix_dedup.repeated_spans(marked)).collect()}
-    assert {r.doc_id: r.text for r in seen[3][2].collect()} == left
+    # Stages 3 and 4 against brute force over all pairs and all 200-byte strings of their own inputs.
+    classes = brute_classes([(r.doc_id, r.text) for r in seen[2][1].collect()])
+    assert ids(seen[2][2]) == set(classes.values())
+    given = [(r.doc_id, (r.text or "").encode()) for r in seen[3][1].collect()]
+    left = {doc: kept.decode(errors="ignore") for doc, _, _, _, kept in brute_cut(given, 200)}
+    assert {str(r.doc_id): r.text for r in seen[3][2].collect()} == left
     assert all(r.n_chars == len(r.text) for r in seen[3][2].collect())
-    assert ids(seen[4][2]) == ids(seen[3][2])
     rows = seen[4][2]
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokens = {r.doc_id: len(whole.encode(r.text, add_special_tokens=False).ids) + 1 for r in seen[4][1].collect()}
+    assert {r.doc_id: r.m for r in rows.groupBy("doc_id").agg(F.max("doc_tokens").alias("m")).collect()} == tokens
+    assert {r.doc_id: r.n for r in rows.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == tokens
     assert rows.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
     expected = sorted(map(str, rows.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()))
     again = pipeline.run(spark, DATA).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m"))

@@ -32,7 +32,9 @@ def brute_classes(rows, per_cent=85):
         changed = False
         for a, x in sets:
             for b, y in sets:
-                if x and y and 100 * len(x & y) >= per_cent * len(x | y) and least[b] < least[a]:
+                if not x or not y or 100 * min(len(x), len(y)) < per_cent * max(len(x), len(y)):
+                    continue
+                if 100 * len(x & y) >= per_cent * len(x | y) and least[b] < least[a]:
                     least[a], changed = least[b], True
     return least
 
