@@ -222,7 +222,8 @@ def merged(rows: DataFrame, least: int = 1) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query", "candidate", "occurrences"])
 
     sizes = rows.groupBy("query").agg((F.count("*") / MERGE_ROWS + 1).cast("int").alias("deals"))
-    dealt = rows.join(sizes, "query").withColumn("deal", F.pmod(F.xxhash64("candidate"), F.col("deals")))
+    # Dealt out by both keys: a partitioning by query alone, as the join has it, would keep all deals of a query in one task.
+    dealt = rows.join(sizes, "query").withColumn("deal", F.pmod(F.xxhash64("candidate"), F.col("deals"))).repartition("query", "deal")
     lists = dealt.groupBy("query", "deal").agg(F.collect_list(F.struct("token", "candidate")).alias("entries"))
     return lists.select("query", "entries").mapInArrow(run, "query long, candidate long, occurrences long")
 
