@@ -4,7 +4,7 @@ Vectors are cut into consecutive parts; each part position has a codebook, which
 
 1. Distinct parts. All parts are counted by (position, part), so copies are met once, with their number as weight, and sorted by range.
 2. Trie. Sorted parts that share their first dimensions lie below one node of a trie. It is walked depth first: a node's vector of distances to all entries, over
-   the dimensions so far, is added to once for all parts below it. A node with few parts is finished at once, level by level.
+   the dimensions so far, is added to once for all parts below it. Neighbouring nodes with few parts are finished together, level by level.
 3. Leaves take the nearest entry and add their weighted part to its sum. Tasks return one sum an entry, Spark adds them, and only the
    codebooks, whose size is fixed, come to the driver between rounds.
 4. Codes. The last assignment walks a trie over the distinct parts of each slice of rows, so that rows need not be shuffled to their parts.
@@ -32,7 +32,7 @@ PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
 SCALE = 1024
-#: Parts below a node that are finished level by level.
+#: Parts that are finished level by level, a bound of the memory for their distances.
 RUN = 1024
 
 
@@ -50,8 +50,18 @@ def nearest_entries(parts: np.ndarray, codebook: np.ndarray) -> tuple[np.ndarray
             entry[start:end], distance[start:end] = _below(parts[start:end], codebook, depth, above)
             continue
         cuts = start + 1 + np.flatnonzero(np.diff(parts[start:end, depth]))
-        bounds = [start, *cuts.tolist(), end]
-        nodes += [(a, b, depth + 1, above) for a, b in zip(bounds[-2::-1], bounds[:0:-1])]
+        ends, deeper, at = np.append(cuts, end), [], start
+        while at < end:
+            # Children that are small together are finished in one go, a large one is visited.
+            fitting = int(np.searchsorted(ends, at + RUN, side="right"))
+            upto = int(ends[fitting - 1]) if fitting else at
+            if upto > at:
+                entry[at:upto], distance[at:upto] = _below(parts[at:upto], codebook, depth, above)
+            else:
+                upto = int(ends[np.searchsorted(ends, at, side="right")])
+                deeper.append((at, upto, depth + 1, above))
+            at = upto
+        nodes += reversed(deeper)
     return entry, distance
 
 
