@@ -45,15 +45,18 @@ def event_fixtures(
 
 
 def event_odds(payloads: DataFrame, fixtures: DataFrame, first_only: bool = False) -> DataFrame:
-    """Flat odds of the payloads whose fixture is among the given ones."""
-    known = fixtures.select(F.col("id").alias("fixture_id"))
+    """Flat odds of the payloads whose fixture is among the given ones.
+
+    Packed files look small to the planner, which would send a large set of ids to every task; so both sides are sorted and merged.
+    """
+    known = fixtures.select(F.col("id").alias("fixture_id")).hint("merge")
     return flat.flat_odds(landed.odds_of_payloads(payloads.join(known, "fixture_id", "left_semi"), first_only))
 
 
 def main_reference(competitions: DataFrame, seasons: DataFrame, top_only: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Competitions of the main circuits (or their biggest events only) and the seasons that belong to them."""
+    """Competitions of the main circuits (or their biggest events only) and the seasons that belong to them, joined by a merge as in ``event_odds``."""
     kept = ref.top_tier(competitions) if top_only else ref.main_circuits(competitions)
-    return kept, ref.seasons_of(seasons, kept)
+    return kept, ref.seasons_of(seasons, kept.hint("merge"))
 
 
 def load_reference(

@@ -48,7 +48,8 @@ def pages_in_reach(
     ``total_pages`` (taken as 1 when absent). Pages of unknown number always stay. ``request`` names the columns that identify a request.
 
     The last page per request is a table of keys and numbers; page contents are not grouped. Only ``as_fetched`` needs it: it is joined back on
-    the request and a salt from the page number, so that a request with very many pages spreads over ``SALTS`` tasks.
+    the request and a salt from the page number, so that a request with very many pages spreads over ``SALTS`` tasks. The join is a merge, since
+    packed files look small to the planner, which would send the requests of all salts to every task.
     """
     unknown = F.col("page").isNull()
     if max_pages is not None:
@@ -64,7 +65,7 @@ def pages_in_reach(
         same = F.pmod(F.coalesce("page", F.lit(0)), F.lit(SALTS)).cast("int") == F.col("__salt")
         for c in request:
             same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
-        return pages.join(salted, same).filter(in_reach).select(*pages.columns)
+        return pages.join(salted.hint("merge"), same).filter(in_reach).select(*pages.columns)
     stop = pages.agg(last).scalar()
     return pages.withColumn("last_page", stop).filter(in_reach).drop("last_page")
 

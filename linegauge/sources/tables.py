@@ -15,6 +15,8 @@ from linegauge.sources import files, schemas
 # Rows per file when appending, as the loaders batch them.
 ODDS_BATCH = 10_000
 FIXTURE_BATCH = 500
+#: Records of a file of landed JSON.
+DUMP_RECORDS = 50_000
 
 
 #: Lets a table hold folders of its own, in which streams leave their batches.
@@ -198,6 +200,10 @@ def upsert_rows(rows: DataFrame, table: str, key: str = "id", newest: str = "gen
 
 
 def dump_json(rows: DataFrame, path: str) -> str:
-    """Write records as JSON Lines, one file per task, NULL fields included."""
-    rows.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
+    """Write records as JSON Lines, NULL fields included, packed by gzip: names and markup are most of such text.
+
+    A packed file is read by one task, so files end after ``DUMP_RECORDS`` records.
+    """
+    written = rows.write.mode("errorifexists").option("ignoreNullFields", "false")
+    written.option("compression", "gzip").option("maxRecordsPerFile", DUMP_RECORDS).json(path)
     return path

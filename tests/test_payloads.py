@@ -1,5 +1,6 @@
 """Landed JSON: hand-made payloads, scopes, reference data, sinks."""
 
+import gzip
 import json
 
 import pytest
@@ -7,6 +8,7 @@ import pytest
 from linegauge.operators import flatten as flat
 from linegauge.operators import quality, scopes
 from linegauge.operators import reference as ref
+from linegauge.plans import load_jobs
 from linegauge.sources import fixed_values as fixed
 from linegauge.sources import landed, schemas, tables
 
@@ -270,3 +272,38 @@ def test_dump_round_trip(spark, land, tmp_path):
     path = tables.dump_json(odds, str(tmp_path / "dump"))
     again = landed.odds(spark, path, documents=False)
     assert sorted(map(str, again.collect())) == sorted(map(str, odds.collect()))
+
+
+def test_dumps_are_packed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "DUMP_RECORDS", 100)
+    words = [f"{k * 7919 % 1000:03d}" for k in range(1000)]
+    rows = spark.createDataFrame([(w, {"price": float(w)}, None) for w in words], "id string, olv struct<price: double, points: double>, clv struct<price: double, points: double>")
+    tables.dump_json(rows.coalesce(1), str(tmp_path / "dump"))
+    packed = sorted((tmp_path / "dump").glob("part-*.json.gz"))
+    texts = [gzip.decompress(f.read_bytes()).decode() for f in packed]
+    assert len(packed) == 10 and all(t.count("\n") == 100 for t in texts)
+    assert sum(f.stat().st_size for f in packed) * 3 < sum(map(len, texts))
+    again = landed.odds(spark, str(tmp_path / "dump"), documents=False)
+    assert sorted(r.id for r in again.collect()) == sorted(words)
+    assert '"clv":null' in texts[0]
+
+
+def test_joins_of_landed_files_do_not_go_by_their_packed_size(spark, tmp_path):
+    record = {"id": "f1", "season_week": "finals", "sport": {"id": "tennis"}}
+    (tmp_path / "pages.json").write_text(json.dumps({"request": "r", "page": 1, "data": [record, record]}))
+    (tmp_path / "payloads.json").write_text(json.dumps({"fixture_id": "f1", "data": [{"odds": ODDS[:2]}]}))
+    (tmp_path / "competitions.json").write_text(json.dumps({"competitions": [{"id": "c1", "category": {"id": fixed.INCLUDED_CATEGORIES[0][0]}}]}))
+    (tmp_path / "seasons.json").write_text(json.dumps({"seasons": [{"id": "s1", "competition_id": "c1"}, {"id": "s2", "competition_id": "c2"}]}))
+    pages = landed.scan_json(spark, str(tmp_path / "pages.json"), schemas.FIXTURE_PAGE)
+    payloads = landed.scan_json(spark, str(tmp_path / "payloads.json"), schemas.ODDS_PAYLOAD)
+    competitions = flat.flat_competitions(landed.competition_feed(spark, str(tmp_path / "competitions.json")))
+    seasons = flat.flat_seasons(landed.season_feed(spark, str(tmp_path / "seasons.json")))
+    joined = [
+        (load_jobs.event_odds(payloads, load_jobs.event_fixtures(pages, rounds=["finals"], sport="tennis")), ["1", "2"]),
+        (landed.data_rows(landed.pages_in_reach(pages, ["request"], as_fetched=True)), ["f1", "f1"]),
+        (load_jobs.main_reference(competitions, seasons)[1], ["s1"]),
+    ]
+    for rows, ids in joined:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert sorted(r.id for r in rows.collect()) == ids
