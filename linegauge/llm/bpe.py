@@ -45,6 +45,9 @@ _FIELDS = [
     ("data", pa.binary()),
     ("listed", pa.int64()),
 ]
+#: Bytes up to which a word's pairs are searched one by one, and the rank of a pair that is no token.
+SHORT_WORD = 64
+NO_RANK = 1 << 40
 _RANKS: dict[str, dict[bytes, int]] = {}
 
 
@@ -56,10 +59,34 @@ def ranks(path: str) -> dict[bytes, int]:
     return _RANKS[path]
 
 
+def short_word_ids(word: bytes, rank_of: dict[bytes, int]) -> list[int]:
+    """``word_ids`` of a word of few bytes: the ranks of all pairs are kept in a list, and its minimum is looked for anew after each merge."""
+    rank = rank_of.get
+    parts = [word[i : i + 1] for i in range(len(word))]
+    pairs = [rank(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]
+    while pairs and (least := min(pairs)) != NO_RANK:
+        i = pairs.index(least)
+        merged = parts[i] + parts[i + 1]
+        parts[i : i + 2] = [merged]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + merged, NO_RANK)
+        if i < len(pairs):
+            pairs[i] = rank(merged + parts[i + 1], NO_RANK)
+    return [rank_of[part] for part in parts]
+
+
 def word_ids(word: bytes, rank_of: dict[bytes, int]) -> list[int]:
     """Ids of one word: the adjacent pair of lowest rank is merged, the leftmost first, until no pair has a rank."""
     if word in rank_of:
         return [rank_of[word]]
+    if len(word) <= SHORT_WORD:
+        return short_word_ids(word, rank_of)
+    return long_word_ids(word, rank_of)
+
+
+def long_word_ids(word: bytes, rank_of: dict[bytes, int]) -> list[int]:
+    """``word_ids`` in time that hardly grows faster than the word."""
     # Parts are [starts[i], after[i]), linked both ways; the queue holds candidate merges, of which outdated ones are passed over.
     size = len(word)
     after, before = list(range(1, size + 1)), list(range(-1, size - 1))
@@ -113,6 +140,14 @@ def _in_blocks(docs: DataFrame, rows_of) -> DataFrame:
 def _block_words(texts: list[str], sequences: bool) -> tuple[dict[str, int], list[bytes]]:
     """Numbers of the distinct words of a block, and each text's words as their numbers."""
     slot_of: dict[str, int] = {}
+    if not sequences:
+        met: dict[str, None] = {}
+        for text in texts:
+            met.update(dict.fromkeys(cuts(text)))
+        for cut in met:
+            for w in words(cut):
+                slot_of.setdefault(w, len(slot_of))
+        return slot_of, []
     known: dict[str, bytes] = {}
     made = []
     for text in texts:
@@ -120,9 +155,8 @@ def _block_words(texts: list[str], sequences: bool) -> tuple[dict[str, int], lis
         for cut in found:
             if cut not in known:
                 slots = [slot_of.setdefault(w, len(slot_of)) for w in words(cut)]
-                known[cut] = np.array(slots, "<u4").tobytes() if sequences else b""
-        if sequences:
-            made.append(b"".join(map(known.__getitem__, found)))
+                known[cut] = np.array(slots, "<u4").tobytes()
+        made.append(b"".join(map(known.__getitem__, found)))
     return slot_of, made
 
 

@@ -49,6 +49,16 @@ def test_memory_bounds_change_nothing(whole, monkeypatch):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_short_and_long_words_are_merged_alike(tik):
+    rank_of, dealt = bpe.ranks(RANKS), random.Random(4)
+    made = ["".join(dealt.choice("aeinorst012é漢!") for _ in range(n)) for n in (*range(1, 130), 64, 65) for _ in range(4)]
+    for word in [*made, "a" * 64, "ab" * 33, "ééé", "\0"]:
+        raw = word.encode()
+        expected = tik._encode_single_piece(raw)
+        assert bpe.short_word_ids(raw, rank_of) == bpe.word_ids(raw, rank_of) == expected
+        assert raw in rank_of or bpe.long_word_ids(raw, rank_of) == expected
+
+
 def test_word_ids_match_the_library(tik):
     for text in [*fuzz(3000), "a" * 5000, "abcé" * 900]:
         made = [i for cut in tokens.cuts(text) for w in tokens.words(cut) for i in bpe.word_ids(w.encode(), bpe.ranks(RANKS))]
