@@ -22,7 +22,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_twins(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     found = con.execute(registry.ORACLES[name])
     columns = sorted(c[0] for c in found.description)
