@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -49,6 +50,36 @@ def test_memory_bounds_change_nothing(whole, monkeypatch):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_a_slice_is_encoded_at_once(whole):
+    texts = [*fuzz(6000), None, "", "end<|endoftext|> of", "a " * 300, " ", "\n", "漢 字", "it's, 's 'll x's.y 12a,3", None]
+    column = pa.array(["cut off", *texts, "cut off"]).slice(1, len(texts))
+    for given in (column, column.cast(pa.large_string())):
+        flat, counts = tokens.Encoder(JSON).ids_of(given)
+        for text, ids in zip(texts, np.split(flat, np.cumsum(counts)[:-1])):
+            assert ids.tolist() == whole.encode(text or "", add_special_tokens=False).ids, repr(text)
+    assert [x.tolist() for x in tokens.Encoder(JSON).ids_of(pa.array(["<|endoftext|>"]))] == [[50256], [1]]
+
+
+def test_cuts_that_are_met_stay_remembered(monkeypatch):
+    monkeypatch.setattr(tokens, "CUTS_REMEMBERED", 3)
+    encoder = tokens.Encoder(JSON)
+    made, tokenized = [], encoder.tokenized
+    monkeypatch.setattr(encoder, "tokenized", lambda word: made.append(word) or tokenized(word))
+    for k in range(20):
+        encoder.encode([f"the {'abcdefghijklmnopqrstuvwxyz'[k]}q"])
+    assert made.count("the") == 1 and len(encoder.known_cuts) <= 3 and len(encoder.cuts_before) <= 3
+
+
+@pytest.mark.parametrize("top", [200, 70_000])
+def test_rows_of_ids_round_trip(top):
+    rnd = np.random.default_rng(3)
+    counts = rnd.integers(0, 9, 50)
+    flat = rnd.integers(0, top, counts.sum()).astype("<u4")
+    rows = pa.concat_arrays([pa.array([b"xy"]), tokens.packed_rows(flat, counts)]).slice(1)
+    assert [tokens.unpacked(d, n).tolist() for d, n in zip(rows.to_pylist(), counts)] == [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+    assert tokens.unpacked_rows(rows, counts).tolist() == flat.tolist()
+
+
 def test_short_and_long_words_are_merged_alike(tik):
     rank_of, dealt = bpe.ranks(RANKS), random.Random(4)
     made = ["".join(dealt.choice("aeinorst012é漢!") for _ in range(n)) for n in (*range(1, 130), 64, 65) for _ in range(4)]
