@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linegauge.llm.common import documents, slices, stored
-from linegauge.llm.tokens import encoded, unpacked
+from linegauge.llm.tokens import encoded, unpacked_rows
 from linegauge.session import scratch_dir
 
 CODED = "shard int, doc_id long, place long, n_tokens long, control binary, data binary"
@@ -34,31 +34,56 @@ LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
-def code(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of ranks below 2 ** 32."""
+def places_of(counts: np.ndarray) -> np.ndarray:
+    """Where the ranks of documents lie if each document begins with a new control byte."""
+    padding = -counts % 4
+    return np.arange(counts.sum()) + np.repeat(np.cumsum(padding) - padding, counts)
+
+
+def code_rows(ranks: np.ndarray, counts: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """``code`` of documents that follow each other in ``ranks``, all at once."""
     ranks = ranks.astype("<u4")
     lengths = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    pairs = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    pairs[: len(ranks)] = lengths - 1
-    control = (pairs.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]].tobytes()
+    quarters = -(-counts // 4)
+    pairs = np.zeros(quarters.sum() * 4, np.uint8)
+    pairs[places_of(counts)] = lengths - 1
+    pairs = pairs.reshape(-1, 4)
+    control = pairs[:, 0] | pairs[:, 1] << 2 | pairs[:, 2] << 4 | pairs[:, 3] << 6
+    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    ends = np.append(0, np.cumsum(lengths, dtype=np.int64))[np.append(0, np.cumsum(counts))]
+    return binary_rows(control, np.append(0, np.cumsum(quarters))), binary_rows(data, ends)
 
 
-def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+def binary_rows(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Rows of bytes that follow each other; ``ends`` are those of the rows, 0 first."""
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def decode_rows(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """Ranks of documents whose control and data bytes follow each other, all at once."""
+    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[places_of(counts)]
     at = np.cumsum(lengths) - lengths
     raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
     return (raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16 | raw[at + 3] << 24) & MASKS[lengths]
 
 
+def code(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """Control bytes and data bytes of ranks below 2 ** 32."""
+    control, data = code_rows(ranks, np.array([len(ranks)]))
+    return control[0].as_py(), data[0].as_py()
+
+
+def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
+    return decode_rows(control, data, np.array([n]))
+
+
 def id_counts(ids: DataFrame) -> DataFrame:
     """``id, uses`` over all rows of ``ids``, summed within each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for part in slices(batches, "ids"):
-            pairs = zip(part.column("ids").to_pylist(), part.column("n_tokens").to_pylist())
-            seen = np.bincount(np.concatenate([unpacked(d, n) for d, n in pairs]))
+            seen = np.bincount(unpacked_rows(part.column("ids"), part.column("n_tokens").to_numpy()))
             if len(seen) > len(total):
                 seen[: len(total)] += total
                 total = seen
@@ -83,18 +108,18 @@ def write_corpus(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, place = TaskContext.get().partitionId(), 0
         for part in slices(batches, "ids"):
-            counted = part.column("n_tokens").to_pylist()
-            made = [code(rank_of[unpacked(d, n)]) for d, n in zip(part.column("ids").to_pylist(), counted)]
-            places = list(accumulate(counted, initial=place))
+            counts = part.column("n_tokens").to_numpy()
+            control, data = code_rows(rank_of[unpacked_rows(part.column("ids"), counts)], counts)
+            places = list(accumulate(counts.tolist(), initial=place))
             place = places.pop()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([shard] * len(made), pa.int32()),
+                    pa.array([shard] * part.num_rows, pa.int32()),
                     part.column("doc_id"),
                     pa.array(places, pa.int64()),
                     part.column("n_tokens"),
-                    pa.array([c for c, _ in made], pa.binary()),
-                    pa.array([d for _, d in made], pa.binary()),
+                    control,
+                    data,
                 ],
                 ["shard", "doc_id", "place", "n_tokens", "control", "data"],
             )
@@ -118,13 +143,15 @@ def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "data"):
-            columns = [part.column(c).to_pylist() for c in ("control", "data", "n_tokens", "shard", "place")]
+            counts = part.column("n_tokens").to_numpy()
+            control, data = (b"".join(part.column(c).to_pylist()) for c in ("control", "data"))
+            starts = [before[s] + p for s, p in zip(part.column("shard").to_pylist(), part.column("place").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
-                    pa.array([before[s] + p for s, p in zip(columns[3], columns[4])], pa.int64()),
+                    pa.array(starts, pa.int64()),
                     part.column("n_tokens"),
-                    pa.array([id_of[decode(c, d, n)].tobytes() for c, d, n in zip(*columns[:3])], pa.binary()),
+                    binary_rows(id_of[decode_rows(control, data, counts)], 4 * np.append(0, np.cumsum(counts))),
                 ],
                 ["doc_id", "start", "n_tokens", "ids"],
             )

@@ -78,6 +78,10 @@ def test_rows_of_ids_round_trip(top):
     rows = pa.concat_arrays([pa.array([b"xy"]), tokens.packed_rows(flat, counts)]).slice(1)
     assert [tokens.unpacked(d, n).tolist() for d, n in zip(rows.to_pylist(), counts)] == [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
     assert tokens.unpacked_rows(rows, counts).tolist() == flat.tolist()
+    control, data = token_files.code_rows(flat, counts)
+    each = [token_files.code(x) for x in np.split(flat, np.cumsum(counts)[:-1])]
+    assert list(zip(control.to_pylist(), data.to_pylist())) == each
+    assert token_files.decode_rows(b"".join(control.to_pylist()), b"".join(data.to_pylist()), counts).tolist() == flat.tolist()
 
 
 def test_short_and_long_words_are_merged_alike(tik):
