@@ -20,7 +20,6 @@ by ``classes`` and passed on by ``one_of_each`` and ``one_row_of_each``. Grams a
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -190,42 +189,60 @@ def short_lists(docs: DataFrame, sketch: np.ndarray, like: Likeness) -> DataFram
     return shared.drop("least", "most").distinct()
 
 
-def entry_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that their lists have about ``MERGE_ROWS`` entries in all; no list is cut."""
-    for batch in batches:
-        group = np.cumsum(pc.list_value_length(batch.column("entries")).to_numpy(zero_copy_only=False), dtype=np.int64) // MERGE_ROWS
-        starts = np.flatnonzero(np.diff(group, prepend=-1))
-        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
-            yield batch.slice(start, end - start)
+def runs(*columns: np.ndarray) -> np.ndarray:
+    """Where rows begin that differ from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
 
 
 def merged(rows: DataFrame, least: int = 1) -> DataFrame:
-    """Step 4: ``query, candidate, occurrences`` from ``query, token, candidate`` rows. The lists of a query are sorted and merged by a heap."""
+    """Step 4: ``query, candidate, occurrences`` from ``query, token, candidate`` rows. The sorted lists of a query are merged by a heap.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in entry_slices(batches):
-            found = []
-            for query, entries in zip(batch.column("query").to_pylist(), batch.column("entries").to_pylist()):
-                lists = defaultdict(list)
-                for e in entries:
-                    lists[e["token"]].append(e["candidate"])
-                last, times = None, 0
-                for candidate in heapq.merge(*map(sorted, lists.values())):
-                    if candidate != last:
-                        if times >= least:
-                            found.append((query, last, times))
-                        last, times = candidate, 0
-                    times += 1
+    Entries pass by as plain rows and are put together by query in the task, so neither Spark nor Arrow holds many lists at once.
+    """
+    columns = ["query", "deal", "token", "candidate"]
+
+    def occurrences(entries: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        query, token, candidates = int(entries[0, 0]), entries[2], entries[3]
+        lists = [part.tolist() for part in np.split(candidates, runs(token)[1:])]
+        last, times = None, 0
+        for candidate in heapq.merge(*lists):
+            if candidate != last:
                 if times >= least:
-                    found.append((query, last, times))
-            columns = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query", "candidate", "occurrences"])
+                    yield query, last, times
+                last, times = candidate, 0
+            times += 1
+        if times >= least:
+            yield query, last, times
+
+    def made(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        values = zip(*found) if found else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in values], ["query", "candidate", "occurrences"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last group of a batch may go on in the next.
+        waiting = []
+        for batch in batches:
+            entries = np.stack([batch.column(c).to_numpy() for c in columns])
+            if not entries.shape[1]:
+                continue
+            starts = runs(entries[0], entries[1])
+            groups = np.split(entries, starts[1:], axis=1)
+            if waiting and (waiting[-1][:2, -1] == groups[0][:2, 0]).all():
+                waiting.append(groups.pop(0))
+            if groups:
+                done = [np.concatenate(waiting, axis=1)] if waiting else []
+                yield made([row for group in (*done, *groups[:-1]) for row in occurrences(group)])
+                waiting = [groups[-1]]
+        if waiting:
+            yield made(list(occurrences(np.concatenate(waiting, axis=1))))
 
     sizes = rows.groupBy("query").agg((F.count("*") / MERGE_ROWS + 1).cast("int").alias("deals"))
+    deal = F.pmod(F.xxhash64("candidate"), F.col("deals")).cast("long")
     # Dealt out by both keys: a partitioning by query alone, as the join has it, would keep all deals of a query in one task.
-    dealt = rows.join(sizes, "query").withColumn("deal", F.pmod(F.xxhash64("candidate"), F.col("deals"))).repartition("query", "deal")
-    lists = dealt.groupBy("query", "deal").agg(F.collect_list(F.struct("token", "candidate")).alias("entries"))
-    return lists.select("query", "entries").mapInArrow(run, "query long, candidate long, occurrences long")
+    dealt = rows.join(sizes, "query").withColumn("deal", deal).select(*columns).repartition("query", "deal")
+    return dealt.sortWithinPartitions(*columns).mapInArrow(run, "query long, candidate long, occurrences long")
 
 
 def node_grams(docs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:

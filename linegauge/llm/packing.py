@@ -16,7 +16,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linegauge.llm.common import documents, slices, stored
-from linegauge.llm.tokens import encoded, packed, unpacked
+from linegauge.llm.tokens import encoded_batches, packed, unpacked
 
 FULL = 2048
 END_ID = 1
@@ -85,25 +85,21 @@ def pattern_slots(patterns: list[tuple[int, list[int]]]) -> list[tuple[int, int,
     return slots
 
 
-def piece_table(ids: DataFrame, full: int) -> DataFrame:
-    """Pieces of ``doc_id, n_tokens, ids`` rows with their ids, and their running number among the pieces of equal length in the same task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, row, seen = TaskContext.get().partitionId(), 0, defaultdict(int)
-        for part in slices(batches, "ids"):
-            rows = []
-            for doc_id, n, data in zip(*(part.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids"))):
-                values = unpacked(data, n)
-                for start in range(0, n, full):
-                    piece = values[start : start + full]
-                    length = len(piece)
-                    rows.append((task, row, doc_id, start, length, n, zlib.crc32(piece.tobytes()), seen[length], packed(piece)))
-                    seen[length] += 1
-                row += 1
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), KINDS)], NAMES)
-
-    return ids.mapInArrow(run, PIECE)
+def piece_batches(batches: Iterable[pa.RecordBatch], full: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of ``doc_id, n_tokens, ids`` batches with their ids, and their running number among the pieces of equal length in the same task."""
+    task, row, seen = TaskContext.get().partitionId(), 0, defaultdict(int)
+    for part in slices(batches, "ids"):
+        rows = []
+        for doc_id, n, data in zip(*(part.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids"))):
+            values = unpacked(data, n)
+            for start in range(0, n, full):
+                piece = values[start : start + full]
+                length = len(piece)
+                rows.append((task, row, doc_id, start, length, n, zlib.crc32(piece.tobytes()), seen[length], packed(piece)))
+                seen[length] += 1
+            row += 1
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), KINDS)], NAMES)
 
 
 NAMES = [field.split()[0] for field in PIECE.split(", ")]
@@ -144,13 +140,18 @@ class Packed:
 
 
 def pack(ids: DataFrame, full: int = FULL) -> Packed:
-    """Packs ``doc_id, n_tokens, ids`` rows into sequences of at most ``full`` tokens.
+    """Packs ``doc_id, n_tokens, ids`` rows into sequences of at most ``full`` tokens."""
+    return pack_pieces(ids.mapInArrow(lambda batches: piece_batches(batches, full), PIECE), full)
+
+
+def pack_pieces(pieces: DataFrame, full: int) -> Packed:
+    """Packs the rows that ``piece_batches`` makes.
 
     The driver sees the histogram (at most ``full`` rows); the slot table made from it is bounded by the same number, not by the data, and
     is therefore broadcast.
     """
-    spark = ids.sparkSession
-    table = stored(piece_table(ids, full), "pieces")
+    spark = pieces.sparkSession
+    table = stored(pieces, "pieces")
     # One row for each task and length.
     by_task = table.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -180,9 +181,15 @@ def pack(ids: DataFrame, full: int = FULL) -> Packed:
 
 
 def packed_documents(docs: DataFrame) -> DataFrame:
-    """Pieces of all documents under the production parameters, without ids."""
-    ids = encoded(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
-    return pack(ids).pieces.drop("task", "row")
+    """Pieces of all documents under the production parameters, without ids.
+
+    Texts are encoded and cut into pieces by the same Python worker: two workers in a row would hold the memory of both for each task."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return piece_batches(encoded_batches(batches, path, END_ID), FULL)
+
+    return pack_pieces(docs.select("doc_id", "text").mapInArrow(run, PIECE), FULL).pieces.drop("task", "row")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

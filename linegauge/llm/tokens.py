@@ -11,7 +11,7 @@ through the whole encoder.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -209,13 +209,14 @@ def unpacked_rows(rows: pa.Array, counts: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(0, "<u4"), *(unpacked(d, n) for d, n in zip(rows.to_pylist(), counts.tolist()))])
 
 
-def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of every whole text, ``end_id`` appended. A null text counts as empty. Other columns are left out."""
+def encoded_batches(batches: Iterable[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    """``doc_id, n_tokens, ids`` of batches with ``doc_id, text``, for use in tasks."""
+    for part in slices(batches, limit=ENCODED_BYTES):
+        flat, counts = encoder(path).ids_of(part.column("text"))
+        flat = np.insert(flat, np.cumsum(counts), end_id)
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts + 1), packed_rows(flat, counts + 1)], ["doc_id", "n_tokens", "ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, limit=ENCODED_BYTES):
-            flat, counts = encoder(path).ids_of(part.column("text"))
-            flat = np.insert(flat, np.cumsum(counts), end_id)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts + 1), packed_rows(flat, counts + 1)], ["doc_id", "n_tokens", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every whole text, ``end_id`` appended. A null text counts as empty. Other columns are left out."""
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: encoded_batches(batches, path, end_id), "doc_id long, n_tokens long, ids binary")

@@ -298,3 +298,13 @@ def test_scratch_of_finished_steps_is_removed(spark, odd, tmp_path, monkeypatch)
     sets, labels = jaccard.links_and_sets(odd, jaccard.Likeness())
     assert left() == ["labels", "nodes", "sets", "spans"]
     assert labels.count() == labels.count() > 0 and sets.count() == odd.count()
+
+def test_lists_are_merged_as_plain_rows(spark):
+    """No row holds the lists of a query, and a query may go on in the next batch."""
+    rnd = random.Random(2)
+    rows = sorted({(q, t, c) for q in range(40) for t in range(rnd.randint(1, 9)) for c in rnd.sample(range(3000), rnd.randint(1, 900))})
+    given = spark.createDataFrame(rows, "query long, token long, candidate long")
+    found = jaccard.merged(given, 2)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    times = Counter((q, c) for q, _, c in rows)
+    assert sorted(tuple(r) for r in found.collect()) == sorted((q, c, n) for (q, c), n in times.items() if n > 1)
