@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from linegauge.llm.common import documents, released, slices, stored
 from linegauge.llm.graph import components
 
-SPACE = r"[\x20\x09-\x0D]+"
 SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 14
 #: Rows up to which a list of documents or pairs is broadcast rather than shuffled with the sets.
@@ -45,7 +44,15 @@ LEADER_TURNS = 2
 MERGE_ROWS = 50_000
 #: Pairs of one query that are probed in one place.
 PROBE_PAIRS = 512
+#: Bytes up to which words are hashed all at once; longer ones, rare in any text, are hashed one by one.
+LONG_WORD = 64
 _WEIGHTS = np.random.default_rng(77).integers(0, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+#: Masks of the first k of eight bytes.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 @dataclass(frozen=True)
@@ -70,34 +77,72 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(owner, hash)`` of the words of each text in order, A-Z lower-cased. All words are hashed at once, eight bytes at a time."""
+    texts = pc.fill_null(texts, "")
+    _, bounds, data = texts.buffers()
+    bounds = np.frombuffer(bounds, np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data else np.zeros(0, np.uint8)
+    bounds -= bounds[0]
+    inside = _IN_WORD[raw]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    # A word ends with its text, even where the next text goes on without white space.
+    between = bounds[(bounds > 0) & (bounds < len(raw))]
+    first[between], last[between - 1] = inside[between], inside[between - 1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, bounds)))
+    padded = np.concatenate([_LOWER[raw], np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    size = end - start
+    hashed = size.astype(np.uint64)
+    which = np.flatnonzero(size <= LONG_WORD)
+    at, left = start[which], size[which]
+    while len(which):
+        piece = eight[at] & _FIRST_BYTES[np.minimum(left, 8)]
+        hashed[which] = _mixed(_mixed((hashed[which] + _WEIGHTS[62]) ^ piece))
+        more = left > 8
+        which, at, left = which[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG_WORD):
+        hashed[i] = xxhash.xxh3_64_intdigest(padded[start[i] : end[i]])
+    return owner, hashed
+
+
+def sort_each(values: np.ndarray, owner: np.ndarray) -> None:
+    """Sorts the values of each owner in place; those of one owner stand together."""
+    starts = runs(owner)
+    for start, end in zip(starts, [*starts[1:], len(owner)]):
+        values[start:end].sort()
+
+
 def gram_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """``(owner, gram)`` of the distinct gram hashes of each text, ordered by owner and hash. A text with fewer words is one gram."""
-    lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), SPACE)
-    flat = lists.flatten()
-    real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))[real]
-    coded = flat.filter(pa.array(real)).dictionary_encode()
-    hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-    word = hashed[coded.indices.to_numpy()]
+    owner, word = word_hashes(texts)
     count = np.bincount(owner, minlength=len(texts))
     ends = np.cumsum(count)
     gram = np.zeros(len(word), np.uint64)
     for k in range(words):
         gram[: max(len(word) - k, 0)] += word[k:] * _WEIGHTS[k]
     whole = np.arange(len(word)) + words <= ends[owner]
-    grams, owners = [_mixed(gram[whole])], [owner[whole]]
+    gram, owner = _mixed(gram[whole]), owner[whole]
     few = np.flatnonzero((count > 0) & (count < words))
     if len(few):
-        grams.append(np.array([xxhash.xxh3_64_intdigest(word[ends[i] - count[i] : ends[i]].tobytes()) for i in few], np.uint64))
-        owners.append(few)
-    gram, owner = np.concatenate(grams), np.concatenate(owners)
-    order = np.lexsort((gram, owner))
-    gram, owner = gram[order], owner[order]
-    new = np.ones(len(gram), bool)
-    new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+        at = np.searchsorted(owner, few)
+        gram = np.insert(gram, at, [xxhash.xxh3_64_intdigest(word[ends[i] - count[i] : ends[i]].tobytes()) for i in few])
+        owner = np.insert(owner, at, few)
+    sort_each(gram, owner)
+    new = runs(owner, gram)
     return owner[new], gram[new]
 
 
+def runs(*columns: np.ndarray) -> np.ndarray:
+    """Where rows begin that differ from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
 def signatures(owner: np.ndarray, gram: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of grams and two sums of hashes of each text: equal for equal sets."""
     first = np.flatnonzero(np.diff(owner, prepend=-1))
@@ -126,7 +171,7 @@ def sets_and_sketch(docs: DataFrame, like: Likeness) -> DataFrame:
         shift = np.uint64(64 - SKETCH_BITS)
         for part in slices(batches):
             owner, gram = gram_sets(part.column("text"), like.words)
-            np.add.at(sketch, (gram >> shift).astype(np.int64), 1)
+            np.add.at(sketch, (gram >> shift).view(np.int64), np.uint32(1))
             n, s1, s2 = signatures(owner, gram, part.num_rows)
             nothing = pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), pa.array(n), pa.array(s1), pa.array(s2), *nothing], NAMES)
@@ -170,8 +215,7 @@ def short_lists(docs: DataFrame, sketch: np.ndarray, like: Likeness) -> DataFram
             n, s1, s2 = signatures(owner, gram, part.num_rows)
             often = np.minimum(counts[(gram >> shift).astype(np.int64)], (1 << 20) - 1).astype(np.uint64)
             token = often << np.uint64(44) | gram >> np.uint64(20)
-            order = np.lexsort((token, owner))
-            token, owner = token[order], owner[order]
+            sort_each(token, owner)
             place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
             # Copies within the slice are met once.
             _, first = np.unique(np.stack([s1, s2]), axis=1, return_index=True)
@@ -189,13 +233,6 @@ def short_lists(docs: DataFrame, sketch: np.ndarray, like: Likeness) -> DataFram
     return shared.drop("least", "most").distinct()
 
 
-def runs(*columns: np.ndarray) -> np.ndarray:
-    """Where rows begin that differ from the row before."""
-    new = np.ones(len(columns[0]), bool)
-    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    return np.flatnonzero(new)
-
-
 def merged(rows: DataFrame, least: int = 1) -> DataFrame:
     """Step 4: ``query, candidate, occurrences`` from ``query, token, candidate`` rows. The sorted lists of a query are merged by a heap.
 

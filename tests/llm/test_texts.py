@@ -308,3 +308,24 @@ def test_lists_are_merged_as_plain_rows(spark):
     assert "collect_list" not in found._jdf.queryExecution().toString()
     times = Counter((q, c) for q, _, c in rows)
     assert sorted(tuple(r) for r in found.collect()) == sorted((q, c, n) for (q, c), n in times.items() if n > 1)
+
+
+def test_words_are_hashed_at_once(monkeypatch):
+    """Equal words, A-Z lower-cased, have equal hashes and others have not; only long words are hashed one by one."""
+    rnd, calls = random.Random(21), []
+    plain = jaccard.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(jaccard.xxhash, "xxh3_64_intdigest", lambda data: calls.append(len(data)) or plain(data))
+    words = ["".join(rnd.choice("abAB01é\x00\x1f\x85") for _ in range(n)) for n in [*range(1, 20), 63, 64, 65, 66, 200] for _ in range(12)]
+    words += ["a" * n for n in range(1, 70)] + ["a" + "\x00" * n for n in range(1, 70)]
+    texts = [rnd.choice(" \t\n\v\f\r").join(rnd.choices(words, k=rnd.randint(0, 40))) for _ in range(300)] + [None, "", " ", "ab", "cd"]
+    whole = pa.array([*texts, "one more"])
+    for column in (whole.slice(0, len(texts)), whole.slice(7, len(texts) - 7), whole.cast(pa.large_string()).slice(7, len(texts) - 7)):
+        expected = [(i, w) for i, t in enumerate(column.to_pylist()) for w in WORD.findall((t or "").translate(FOLD))]
+        owner, hashed = jaccard.word_hashes(column)
+        assert owner.tolist() == [i for i, _ in expected]
+        pairs = set(zip(hashed.tolist(), (w for _, w in expected)))
+        assert len(pairs) == len({h for h, _ in pairs}) == len({w for _, w in pairs})
+    assert min(calls) > jaccard.LONG_WORD
+    calls.clear()
+    jaccard.gram_sets(pa.array([" ".join(f"w{i}" for i in range(500))]), 4)
+    assert not calls
