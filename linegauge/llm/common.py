@@ -15,12 +15,33 @@ from linegauge.sources import files
 
 #: Bytes of text that a task works on at once. One longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch within ``in_small_batches``. Spark's own bound is 64 MB, which it holds twice over while a batch grows, and the Python worker once more.
+BATCH_BYTES = 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def in_small_batches(make: Callable) -> Callable:
+    """A function of a DataFrame; what it runs passes rows to Python in batches of about ``BATCH_BYTES``, or of one longer row.
+
+    Rows are the same, so other work of the session may see the setting meanwhile.
+    """
+
+    @wraps(make)
+    def run(docs: DataFrame, *args, **named):
+        conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+        before = conf.get(key, None)
+        conf.set(key, str(BATCH_BYTES))
+        try:
+            return make(docs, *args, **named)
+        finally:
+            conf.unset(key) if before is None else conf.set(key, before)
+
+    return run
+
+
 #: Tables that ``stored`` has written within each ``released`` call that is running.
 _WRITTEN: list[list[str]] = []
 

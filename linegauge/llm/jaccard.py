@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import documents, released, slices, stored
+from linegauge.llm.common import documents, in_small_batches, released, slices, stored
 from linegauge.llm.graph import components
 
 SKETCH_BITS = 22
@@ -357,6 +357,7 @@ def probed(pairs: DataFrame, grams: DataFrame, like: Likeness) -> DataFrame:
 
 
 @released
+@in_small_batches
 def links_and_sets(docs: DataFrame, like: Likeness, nameless: bool = False) -> tuple[DataFrame, DataFrame]:
     """``sets`` (doc_id, mark, n, s1, s2) of all rows and ``labels`` (s1, s2, component, first) of the sets that have links.
 

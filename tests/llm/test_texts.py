@@ -329,3 +329,20 @@ def test_words_are_hashed_at_once(monkeypatch):
     calls.clear()
     jaccard.gram_sets(pa.array([" ".join(f"w{i}" for i in range(500))]), 4)
     assert not calls
+
+
+def test_join_passes_small_batches(spark, odd, monkeypatch):
+    """Texts reach Python in batches bounded by bytes in every step of the join, and the session's own bound is back afterwards."""
+    key, seen, stored = "spark.sql.execution.arrow.maxBytesPerBatch", [], jaccard.stored
+    before = spark.conf.get(key)
+    monkeypatch.setattr(jaccard, "stored", lambda df, label: seen.append(spark.conf.get(key)) or stored(df, label))
+    jaccard.links_and_sets(odd.limit(5), jaccard.Likeness())
+    assert len(seen) > 5 and {int(x) for x in seen} == {common.BATCH_BYTES} and spark.conf.get(key) == before
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    measured = common.in_small_batches(lambda docs: [r.n for r in docs.mapInArrow(sizes, "n long").collect()])
+    found = measured(spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) AS text"))
+    assert sum(found) > 30_000_000 and max(found) < common.BATCH_BYTES + 100_000
