@@ -107,3 +107,12 @@ def test_links_do_not_grow_with_the_square(spark):
     df = spark.createDataFrame([(m,) for m in masks], "fp long")
     links = simhash.links_of(df, hot=500).count()
     assert links < 60 * len(masks)
+
+
+def test_exploded_rows_are_not_broadcast(spark):
+    """Spark sizes variants and the numbers near a fingerprint as the fingerprints alone."""
+    nodes = spark.range(300).selectExpr("xxhash64(id) AS fp")
+    for made in (simhash.shared_variants(nodes), simhash.met(nodes)):
+        made.collect()
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
